@@ -5,9 +5,11 @@ kept, and an empty bin copies the value of a full one chosen by its own sequence
 Bands of ROWS bins give bucket keys. Texts with equal sets are one class, so only different sets meet in buckets.
 
 In each bucket the smallest id is the centre of a star: the candidates are its edges, so their number is linear in
-the bucket. Candidates are confirmed on full sets. Members of one bucket that are still in different components are
-not given up: the centre leaves the bucket and the next one becomes a centre, until the pairs that are left are
-fewer than the bucket rows; those are then confirmed directly. No link inside a bucket is lost, nothing is capped.
+the bucket. Candidates are confirmed on full sets. Members that are still in different components are not given up:
+those outside the bucket's largest component are first tried against the PROBES most central members, and what is left
+against all members of other components that could be similar. Jaccard distance is a metric and the distances to the
+centre are known, so most of these pairs are ruled out unseen; the others are emitted in slices of bounded size. No
+link inside a bucket is lost, nothing is capped.
 A pair at the threshold of 0.8 shares no bucket with probability (1 - 0.8**8)**64 = 8e-6, at 0.85 with 1e-9.
 """
 
@@ -18,13 +20,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, WordHash, components, lists, mapped, mixed, slices, stored
 
 BINS, ROWS = 512, 8
 BANDS = BINS // ROWS
+#: Central members that are tried first, and pairs of a slice for each bucket row.
+PROBES, SLICE = 8, 16
 _WORDS = WordHash()
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -125,57 +129,73 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
         ),
         "classes",
     )
-    rows = classes.select(F.explode("bands").alias("key"), "rep")
+    rows = classes.select(F.explode("bands").alias("key"), "rep", "n")
     buckets = rows.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("other"), F.count("*").alias("m"))
     buckets = stored(buckets.where("m > 1 and centre <> other"), "buckets")
-    members = stored(rows.join(buckets.where("m > 2").select("key"), "key"), "members")
-    edges = buckets.where("m = 2").select(F.col("centre").alias("a"), F.col("other").alias("b"))
-    stars = buckets.where("m > 2").select("key", "centre")
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
-    label = None
-    while True:
-        spokes = members.join(stars, "key").where("rep <> centre")
-        if label is not None:
-            spokes = spokes.where("comp <> centre_comp")
-        edges = edges.unionByName(spokes.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")))
-        links = links.unionByName(_confirmed(docs, classes, edges, size, percent))
-        label = stored(components(links), "components")
-        left = members.join(stars.select("key", F.col("centre").alias("rep")), ["key", "rep"], "left_anti")
-        left = left.select("key", "rep").join(label, F.col("rep") == F.col("id"), "left")
-        left = left.select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-        mixed_keys = left.groupBy("key").agg(
-            F.min_by(F.struct("rep", "comp"), "rep").alias("next"), F.min("comp").alias("c1"), F.max("comp").alias("c2")
-        ).where("c1 <> c2").select("key", F.col("next.rep").alias("centre"), F.col("next.comp").alias("centre_comp"))
-        stars = stored(mixed_keys, "stars")
-        members = stored(left.join(stars.select("key"), "key"), "members")
-        n = members.groupBy("key", "comp").count().groupBy("key").agg(
-            F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("same")
-        ).agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
-        if not n[1]:
-            break
-        edges = members.sparkSession.createDataFrame([], "a long, b long")
-        if n[0] <= 2 * n[1]:
-            x = members.select("key", F.col("rep").alias("a"), F.col("comp").alias("comp_a"))
-            y = members.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
-            edges = x.join(y, "key").where("a < b and comp_a <> comp_b").select("a", "b")
-            links = links.unionByName(_confirmed(docs, classes, edges, size, percent))
-            label = stored(components(links), "components")
-            break
+    members = stored(rows.join(buckets.where("m > 2").select("key", "centre"), "key"), "members")
+    pairs = buckets.where("m = 2").select(F.col("centre").alias("a"), F.col("other").alias("b"))
+    stars = members.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b"))
+    edges = stored(pairs.unionByName(stars).distinct(), "edges")
+    ends = edges.select(F.col("a").alias("doc_id")).unionByName(edges.select(F.col("b").alias("doc_id"))).distinct()
+    full = stored(mapped(docs.join(ends, "doc_id", "left_semi"), _full_sets(size), "id long, shingles array<long>"), "sets")
+    sizes = classes.select("rep", "n")
+    measured = _measured(_fitting(edges, sizes, percent), full)
+    linked = 100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))
+    links = measured.where(linked).select("a", "b")
+    label = components(links)
+    apart = measured.select(F.col("a").alias("centre"), F.col("b").alias("rep"), (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("d"))
+    members = members.where("rep <> centre").join(apart, ["centre", "rep"], "left").select("key", "rep", "n", "d")
+    members = stored(members, "distances")
+    left = _unsettled(members, label)
+    if not left.isEmpty():
+        central = left.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy(F.asc_nulls_last("d"), "rep"))).where(F.col("k") <= PROBES)
+        tried = _across(left, central, percent)
+        links = links.unionByName(_measured(stored(tried.select("a", "b", "na", "nb").distinct(), "probes"), full).where(linked).select("a", "b"))
+        label = components(links)
+        left = _unsettled(members, label)
+        found = left.groupBy("key").agg(F.count("*").alias("n"), F.count_if("outside").alias("x")).agg(F.sum("n"), F.sum(F.col("n") * F.col("x"))).first()
+        slices_ = -(-int(found[1] or 0) // (SLICE * max(1, found[0] or 0)))
+        for k in range(slices_):
+            part = left.where(F.pmod(F.xxhash64("rep", "key"), F.lit(slices_)) == k)
+            pairs = _across(part, left.withColumn("k", F.lit(0)), percent).select("a", "b", "na", "nb").distinct()
+            links = links.unionByName(_measured(stored(pairs, "remainder"), full).where(linked).select("a", "b"))
+        label = components(links) if slices_ else label
     own = classes.join(label, F.col("rep") == F.col("id"), "left").select("set_id", F.coalesce("component", "rep").alias("found"))
     return signed.join(own, "set_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id")
     ).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def _confirmed(docs: DataFrame, classes: DataFrame, edges: DataFrame, size: int, percent: int) -> DataFrame:
-    """The edges whose full sets reach the similarity."""
-    sizes = classes.select("rep", "n")
-    near = edges.distinct().join(sizes.select(F.col("rep").alias("a"), F.col("n").alias("na")), "a")
+def _unsettled(members: DataFrame, label: DataFrame) -> DataFrame:
+    """Bucket rows with their component, of buckets with more than one; outside: not in the bucket's largest one."""
+    named = members.join(label, F.col("rep") == F.col("id"), "left").select("key", "rep", "n", "d", F.coalesce("component", "rep").alias("comp"))
+    per = named.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count("*").alias("parts"))
+    return stored(named.join(per.where("parts > 1").select("key", "main"), "key").withColumn("outside", F.col("comp") != F.col("main")), "unsettled")
+
+
+def _across(some: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """Pairs of outside members of some with members of others in the same bucket and another component, without those
+    that sizes or distances to the centre rule out."""
+    x = some.where("outside").select("key", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("d").alias("dx"), F.col("comp").alias("cx"))
+    y = others.select("key", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("comp").alias("cy"), "k")
+    could = (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & (F.coalesce(F.abs(F.col("dx") - F.col("dy")), F.lit(0.0)) <= 1 - percent / 100 + 1e-9)
+    met = x.join(y, "key").where((F.col("cx") != F.col("cy")) & could)
+    low = F.col("x") < F.col("y")
+    return met.select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(low, F.col("nx")).otherwise(F.col("ny")).alias("na"),
+        F.when(low, F.col("ny")).otherwise(F.col("nx")).alias("nb"), "k",
+    )
+
+
+def _fitting(edges: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Edges with the sizes of both sets, where these allow a link."""
+    near = edges.join(sizes.select(F.col("rep").alias("a"), F.col("n").alias("na")), "a")
     near = near.join(sizes.select(F.col("rep").alias("b"), F.col("n").alias("nb")), "b")
-    near = stored(near.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")), "candidates")
-    ends = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
-    full = stored(mapped(docs.join(ends, "doc_id", "left_semi"), _full_sets(size), "id long, shingles array<long>"), "sets")
+    return near.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+
+
+def _measured(near: DataFrame, full: DataFrame) -> DataFrame:
+    """Pairs with the size of their sets' intersection."""
     left = near.join(full.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     both = left.join(full.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
-    common = both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("common"))
-    return stored(common.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b").distinct(), "links")
+    return stored(both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("common")), "measured")
