@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .plans import catalogue, gridded, onset, products, series
+from .plans.registry import ORACLES, QUERIES, Query
 
-from pyspark.sql import DataFrame, SparkSession
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "Query", "catalogue", "gridded", "onset", "products", "series"]
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:  # noqa: N802
-    raise NotImplementedError
+#: Melt onset day of each pixel and water year.
+FLAGSHIP: Query = QUERIES["onset_dowy"]
