@@ -3,9 +3,11 @@
 A window is SIZE consecutive words. Every window holds a smallest gram of GRAM words (by hash), and equal windows hold
 the same one, so the number of documents with a window is at most the number with its gram. Each partition counts the
 grams of its documents in a count-min sketch; the merged sketch overestimates, so a window whose gram is estimated in
-one document only can't repeat. A second pass emits the other windows, and they alone are grouped, exactly, by 128-bit
-hashes. Grams are about a twentieth of the windows, so the sketch stays small; its width follows the bytes of text up
-to 2**MOST_BITS cells a row, beyond which it lets more windows through but still loses none.
+one document only can't repeat. A second pass emits the other windows, packed by gram, and they
+alone are grouped, exactly, by gram and window hash (128 bits): the rows of a gram come sorted by doc_id and are
+settled as they stream by. Grams with very many rows are grouped window by window instead, with partial sums and a
+join whose hot keys Spark splits. Grams are about a twentieth of the windows, so the sketch stays small; its width
+follows the bytes of text up to 2**MOST_BITS cells a row, beyond which it lets more windows through but loses none.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from .common import WordHash, mapped, mixed, slices, stored
 SIZE, GRAM = 50, 10
 #: Rows of the sketch, its least and largest width (as powers of two), and cells of a chunk that is merged by itself.
 DEPTH, LEAST_BITS, MOST_BITS, CHUNK = 2, 16, 26, 1 << 20
+#: Windows of a packed row; a gram is hot with more than HOT rows and a 1/HOT_SHARE of all rows.
+PACK, HOT, HOT_SHARE = 64, 4096, 8192
 _WORDS = WordHash()
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03))
 
@@ -141,30 +145,81 @@ def _suspects(size: int, sketch: Broadcast):
             often = np.ones(len(gram), bool)
             for r, cell in enumerate(_cells(gram, bits)):
                 often &= (full[r, cell >> 3] >> (7 - (cell & 7)) & 1).astype(bool)
-            at, text = at[often], text[often]
+            at, text, gram = at[often], text[often], gram[often]
             if len(at):
-                ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False)
-                high, low = (_rolled(words, size, odd)[at].view(np.int64) for odd in _ODD)
-                for k in range(0, len(at), 50_000):
-                    cut = slice(k, k + 50_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(high[cut]), pa.array(low[cut]), pa.array(ids[text[cut]].astype(np.int64)), pa.array((at - ends[text])[cut].astype(np.int32))], ["high", "low", "doc_id", "at"])
+                ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False).astype(np.int64)
+                hashes = _rolled(words, size, _ODD[1])[at]
+                run = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(text) != 0) | (gram[1:] != gram[:-1])])
+                inside = np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))
+                first = np.flatnonzero(inside % PACK == 0)
+                packed = [hashes[a:b].tobytes() for a, b in zip(first.tolist(), [*first[1:].tolist(), len(at)])]
+                for k in range(0, len(first), 20_000):
+                    cut = first[k : k + 20_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(gram[cut].view(np.int64)), pa.array(ids[text[cut]]), pa.array((at - ends[text])[cut].astype(np.int32)), pa.array(packed[k : k + 20_000], pa.binary())],
+                        ["gram", "doc_id", "at", "windows"],
+                    )
 
     return run
 
 
+def _settled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of window starts that an earlier document has, from rows sorted by gram and doc_id."""
+    gram, first = None, {}
+    for batch in batches:
+        docs, spans = [], []
+        for g, doc, at, windows in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if g != gram:
+                gram, first = g, {}
+            see, out = first.setdefault, []
+            for k, h in enumerate(np.frombuffer(windows, np.int64).tolist(), at):
+                if see(h, doc) < doc:
+                    if out and out[-1] == k:
+                        out[-1] = k + 1
+                    else:
+                        out += (k, k + 1)
+            if out:
+                docs.append(doc)
+                spans.append(out)
+        if docs:
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], ["doc_id", "spans"])
+
+
+def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        windows = [np.frombuffer(w, np.int64) for w in batch.column(3).to_pylist()]
+        n = np.array([len(w) for w in windows], np.int64)
+        if len(n):
+            places = np.repeat(batch.column(2).to_numpy(), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            gram, doc = (np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(np.concatenate(windows)), pa.array(doc), pa.array(places.astype(np.int32))], ["gram", "window", "doc_id", "at"])
+
+
+def _repeats(rows: DataFrame, hot_rows: int = HOT) -> DataFrame:
+    """doc_id and spans of window starts that a document with a smaller doc_id has too."""
+    n = rows.groupBy("gram").agg(F.count("*").alias("n"))
+    hot = n.where(F.col("n") > max(hot_rows, rows.count() // HOT_SHARE)).select("gram")  # at most HOT_SHARE grams
+    light = rows.join(F.broadcast(hot), "gram", "left_anti").repartition("gram").sortWithinPartitions("gram", "doc_id")
+    spans = light.mapInArrow(_settled, "doc_id long, spans array<int>")
+    each = rows.join(F.broadcast(hot), "gram", "left_semi").mapInArrow(_unpacked, "gram long, window long, doc_id long, at int")
+    least = each.groupBy("gram", "window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    later = each.join(least.select("gram", "window", "first"), ["gram", "window"]).where("doc_id > first")
+    return spans.unionByName(later.select("doc_id", F.array("at", F.col("at") + 1).alias("spans")))
+
+
 def _cut(size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, got in slices(batches):
             out: dict[str, list] = {"n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": []}
-            starts = batch.column(batch.schema.get_field_index("starts")).to_pylist()
-            for t, hit in zip(got, starts):
+            spans = batch.column(batch.schema.get_field_index("spans")).to_pylist()
+            for t, hit in zip(got, spans):
                 words = (t or b"").split()
                 kept = words
                 if hit:
                     step = np.zeros(len(words) + 1, np.int64)
-                    at = np.unique(np.array(hit, np.int64))
-                    step[at] += 1
-                    np.add.at(step, at + size, -1)
+                    at = np.array(hit, np.int64)
+                    np.add.at(step, at[::2], 1)
+                    np.add.at(step, at[1::2] + size - 1, -1)
                     keep = np.cumsum(step[:-1]) == 0
                     kept = [w for w, k in zip(words, keep.tolist()) if k]
                 joined = b" ".join(kept)
@@ -190,8 +245,6 @@ def deduplicated(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     sketch = _repeated(docs, size)
-    windows = stored(mapped(docs, _suspects(size, sketch), "high long, low long, doc_id long, at int"), "windows")
-    least = windows.groupBy("high", "low").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    later = windows.join(least.select("high", "low", "first"), ["high", "low"]).where("doc_id > first")
-    starts = later.groupBy("doc_id").agg(F.collect_list("at").alias("starts"))
-    return mapped(docs.join(starts, "doc_id", "left"), _cut(size), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    rows = stored(mapped(docs, _suspects(size, sketch), "gram long, doc_id long, at int, windows binary"), "windows")
+    spans = _repeats(rows).groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return mapped(docs.join(spans, "doc_id", "left"), _cut(size), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
