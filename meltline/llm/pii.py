@@ -126,12 +126,21 @@ class Pseudonyms:
         parts = list(map(int, v.split(".")))
         if max(parts) > 255 or v in ("0.0.0.0", "127.0.0.1", "255.255.255.255"):
             return None
-        x = int.from_bytes(bytes(parts), "big")
+        if any(len(p) > 1 and p[0] == "0" for p in v.split(".")):
+            return None
+        ranges = [((0, 10), (10, 90), (100, 156))[len(p) - 1] for p in v.split(".")]
+        x, size = 0, 1
+        for n, (low, wide) in zip(parts, ranges):
+            x, size = x * wide + n - low, size * wide
+        permute = self.permute("ip" + "".join(str(len(p)) for p in v.split(".")), size)
         while True:
-            x = self.permute("ip", 1 << 32)(x)
-            out = x.to_bytes(4, "big")
-            if 0 < out[0] < 224 and out[0] != 127 or out[0] >= 224 and parts[0] >= 224:
-                return ".".join(map(str, out))
+            y = x = permute(x)
+            out = []
+            for low, wide in reversed(ranges):
+                y, n = divmod(y, wide)
+                out.append(low + n)
+            if (0 < out[-1] < 224 and out[-1] != 127) == (0 < parts[0] < 224 and parts[0] != 127):
+                return ".".join(map(str, reversed(out)))
 
     def _card(self, v: str) -> str | None:
         digits = re.sub(r"\D", "", v)
