@@ -137,7 +137,7 @@ CC_TERMS = ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd")
 CC_WORDS = {"by": "attribution", "sa": "share ?alike", "nc": "non ?commercial", "nd": "no ?deriv(?:atives|s|ative works)"}
 CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
 #: Words before a name that make it a grant.
-GRANT = r"(?:(?:re)?(?:licensed|released|distributed|available|published|provided)(?: only)? (?:under|in accordance with)(?: the)?(?: terms of)?(?: the)?|licen[sc]e|spdx license identifier) "
+GRANT = r"(?:(?:re)?(?:licensed|released|distributed|available|published|provided)(?: only)? (?:under|in accordance with)(?: the)?(?: terms of)?(?: the)?|licen[sc]e) "
 #: If none of these occurs, no rule can match.
 FAMILIES = (
     "licen", "copyright", "rights reserved", "public domain", "gpl", "cc by", "cc0", "bsd", "spdx", "warranty", "permission", "redistribut",
@@ -151,7 +151,7 @@ def rules() -> list[tuple[str, str, str, int]]:
     out = []
     for line in NAMES.strip().splitlines():
         label, keyword, pattern = (x.strip() for x in line.split(" | ", 2))
-        pattern = pattern.replace("v?ersion", "version").replace("(?: v)? ?", "(?: v| )?").replace("(?: v)?", "(?: v)?")
+        pattern = pattern.replace("v?ersion", "version").replace("(?: v)? ?", "(?: v| )?")
         out += [(label, keyword, pattern, 2 if any(c.isdigit() for c in label) else 1), (label, keyword, GRANT + pattern, 3)]
     for terms in CC_TERMS:
         label = "cc-" + terms.replace(" ", "-")
@@ -160,6 +160,8 @@ def rules() -> list[tuple[str, str, str, int]]:
         for v in CC_VERSIONS:
             with_v = f"{label}-{v.replace(' ', '.')}"
             out += [(with_v, "cc by", f"cc {terms} {v}", 2), (with_v, "cc by", GRANT + f"cc {terms} {v}", 3), (with_v, "creative commons", f"creative commons {names} (?:international |license |licence |v)*{v}", 2)]
+    for label in sorted({r[0] for r in out}):
+        out.append((label, "spdx", "spdx license identifier " + label.replace("-", " ").replace(".", " ") + "(?: only| or later)?", 3))
     for line in SENTENCES.strip().splitlines():
         label, keyword, pattern, priority = (x.strip() for x in line.split(" | "))
         out.append((label, keyword, pattern, int(priority)))

@@ -235,7 +235,7 @@ def test_licences(spark, docs, corpus, empty):
 
 
 def test_licence_intervals(spark):
-    d = spark.createDataFrame([(1, "mit license " * 3 + "licensed under the mit license and licensed under the gnu general public license version 2 0")], DOCS)
+    d = spark.createDataFrame([(1, "mit license here " * 3 + "licensed under the mit license and licensed under the gnu general public license version 2 0")], DOCS)
     found = [(x.label, x.priority) for x in licenses.scanned(d).first().detections]
     assert found == [("mit", 1)] * 3 + [("mit", 3), ("gpl-2.0", 3)]
 
