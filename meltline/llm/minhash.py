@@ -4,12 +4,12 @@ Each text becomes a set of word shingles. One hash splits the set over BINS bins
 kept, and an empty bin copies the value of a full one chosen by its own sequence of hashes (optimal densification).
 Bands of ROWS bins give bucket keys. Texts with equal sets are one class, so only different sets meet in buckets.
 
-In each bucket the smallest id is the centre of a star: the candidates are its edges, so their number is linear in
-the bucket. Candidates are confirmed on full sets. Members that are still in different components are not given up:
-those outside the bucket's largest component are first tried against the PROBES most central members, and what is left
-against all members of other components that could be similar. Jaccard distance is a metric and the distances to the
-centre are known, so most of these pairs are ruled out unseen; the others are emitted in slices of bounded size. No
-link inside a bucket is lost, nothing is capped.
+Each task first makes stars of the members of a bucket that it holds itself, so a bucket sends one row a task into the
+shuffle; there the smallest id becomes the centre of a star. The candidates are the stars' edges, so their number is
+linear in the buckets. They are confirmed on full sets. Members that are still in different components are not given
+up: those outside a bucket's largest component are first tried against the PROBES most central members of the bucket.
+What is left goes through an exact prefix-filtered join over full sets: shingles ordered by rarity, prefixes that
+linked sets must share, and bounds on size and position. No link inside a bucket is lost, nothing is capped.
 A pair at the threshold of 0.8 shares no bucket with probability (1 - 0.8**8)**64 = 8e-6, at 0.85 with 1e-9.
 """
 
@@ -27,8 +27,8 @@ from .common import LOWER, WordHash, components, lists, mapped, mixed, slices, s
 
 BINS, ROWS = 512, 8
 BANDS = BINS // ROWS
-#: Central members that are tried first, and pairs of a slice for each bucket row.
-PROBES, SLICE = 8, 16
+#: Central members that are tried first, bucket keys that a task groups at once, and ids up to which they are broadcast.
+PROBES, CHUNK, BROADCAST = 8, 1 << 20, 2_000_000
 _WORDS = WordHash()
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -112,6 +112,36 @@ def _full_sets(size: int):
     return run
 
 
+def _stars(local: bool):
+    """Of the bucket rows of a task: members with their local centre (local), or centres with their number of members."""
+
+    def grouped(ids: list[np.ndarray], keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        k, r = np.concatenate(keys), np.repeat(np.concatenate(ids), BANDS)
+        order = np.lexsort((r, k))
+        k, r = k[order], r[order]
+        new = np.r_[True, k[1:] != k[:-1]]
+        first = np.flatnonzero(new)
+        n = np.diff(np.r_[first, len(k)])
+        key, rep, other = (k[~new], r[~new], np.repeat(r[first], n)[~new]) if local else (k[first], r[first], n)
+        for i in range(0, len(key), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000].astype(np.int64)) for x in (key, rep, other)], ["key", "rep", "centre" if local else "n"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, keys, size = [], [], 0
+        for batch in batches:
+            if batch.num_rows:
+                ids.append(batch.column(0).to_numpy(zero_copy_only=False))
+                keys.append(batch.column(1).flatten().to_numpy())
+                size += len(keys[-1])
+            if size >= CHUNK:
+                yield from grouped(ids, keys)
+                ids, keys, size = [], [], 0
+        if size:
+            yield from grouped(ids, keys)
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept, for every row of docs.
 
@@ -129,62 +159,80 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
         ),
         "classes",
     )
-    rows = classes.select(F.explode("bands").alias("key"), "rep", "n")
-    buckets = rows.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("other"), F.count("*").alias("m"))
-    buckets = stored(buckets.where("m > 1 and centre <> other"), "buckets")
-    members = stored(rows.join(buckets.where("m > 2").select("key", "centre"), "key"), "members")
-    pairs = buckets.where("m = 2").select(F.col("centre").alias("a"), F.col("other").alias("b"))
-    stars = members.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b"))
-    edges = stored(pairs.unionByName(stars).distinct(), "edges")
-    ends = edges.select(F.col("a").alias("doc_id")).unionByName(edges.select(F.col("b").alias("doc_id"))).distinct()
-    full = stored(mapped(docs.join(ends, "doc_id", "left_semi"), _full_sets(size), "id long, shingles array<long>"), "sets")
-    sizes = classes.select("rep", "n")
-    measured = _measured(_fitting(edges, sizes, percent), full)
+    keyed = classes.select("rep", "bands")
+    own = Window.partitionBy("key")  # at most one row of each task
+    centres = keyed.mapInArrow(_stars(False), "key long, rep long, n long")
+    centres = centres.withColumns({"centre": F.min("rep").over(own), "m": F.sum("n").over(own)}).where("m > 1").select("key", "rep", "centre")
+    near = stored(keyed.mapInArrow(_stars(True), "key long, rep long, centre long").unionByName(centres), "buckets")
+    edges = near.where("rep <> centre").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
+    edges = stored(edges.distinct(), "edges")
+    full = _sets_of(docs, edges, size)
     linked = 100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))
+    measured = _measured(_fitting(edges, classes.select("rep", "n"), percent), full)
     links = measured.where(linked).select("a", "b")
     label = components(links)
-    apart = measured.select(F.col("a").alias("centre"), F.col("b").alias("rep"), (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("d"))
-    members = members.where("rep <> centre").join(apart, ["centre", "rep"], "left").select("key", "rep", "n", "d")
-    members = stored(members, "distances")
+    apart = measured.withColumn("d", 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common")))
+    apart = apart.select(F.col("a").alias("rep"), "d").unionByName(apart.select(F.col("b").alias("rep"), "d")).groupBy("rep").agg(F.min("d").alias("d"))
+    members = near.select("key", "rep")
     left = _unsettled(members, label)
     if not left.isEmpty():
-        central = left.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy(F.asc_nulls_last("d"), "rep"))).where(F.col("k") <= PROBES)
-        tried = _across(left, central, percent)
-        links = links.unionByName(_measured(stored(tried.select("a", "b", "na", "nb").distinct(), "probes"), full).where(linked).select("a", "b"))
+        known = left.join(apart, "rep", "left").join(classes.select("rep", "n"), "rep")
+        central = Window.partitionBy("key").orderBy(F.asc_nulls_last("d"), "rep")
+        central = known.withColumn("k", F.row_number().over(central)).where(F.col("k") <= PROBES)
+        tried = stored(_across(known, central, percent).distinct(), "probes")
+        links = links.unionByName(_measured(tried, full).where(linked).select("a", "b"))
         label = components(links)
         left = _unsettled(members, label)
-        found = left.groupBy("key").agg(F.count("*").alias("n"), F.count_if("outside").alias("x")).agg(F.sum("n"), F.sum(F.col("n") * F.col("x"))).first()
-        slices_ = -(-int(found[1] or 0) // (SLICE * max(1, found[0] or 0)))
-        for k in range(slices_):
-            part = left.where(F.pmod(F.xxhash64("rep", "key"), F.lit(slices_)) == k)
-            pairs = _across(part, left.withColumn("k", F.lit(0)), percent).select("a", "b", "na", "nb").distinct()
-            links = links.unionByName(_measured(stored(pairs, "remainder"), full).where(linked).select("a", "b"))
-        label = components(links) if slices_ else label
+        rest = left.groupBy("rep").agg(F.max("outside").alias("outside"), F.min("comp").alias("comp"))
+        pairs = stored(_prefix_join(rest, full, percent).distinct(), "remainder")
+        links = links.unionByName(_measured(pairs, full).where(linked).select("a", "b"))
+        label = components(links)
     own = classes.join(label, F.col("rep") == F.col("id"), "left").select("set_id", F.coalesce("component", "rep").alias("found"))
-    return signed.join(own, "set_id", "left").select(
+    return signed.select("doc_id", "n_shingles", "set_id").join(own, "set_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id")
     ).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def _sets_of(docs: DataFrame, edges: DataFrame, size: int) -> DataFrame:
+    """Full sets of the ends of edges. Few ids are broadcast, so that texts stay where they are; many are shuffled."""
+    ends = stored(edges.select(F.col("a").alias("doc_id")).unionByName(edges.select(F.col("b").alias("doc_id"))).distinct(), "ends")
+    few = F.broadcast(ends) if ends.count() <= BROADCAST else ends
+    return stored(mapped(docs.join(few, "doc_id", "left_semi"), _full_sets(size), "id long, shingles array<long>"), "sets")
+
+
 def _unsettled(members: DataFrame, label: DataFrame) -> DataFrame:
     """Bucket rows with their component, of buckets with more than one; outside: not in the bucket's largest one."""
-    named = members.join(label, F.col("rep") == F.col("id"), "left").select("key", "rep", "n", "d", F.coalesce("component", "rep").alias("comp"))
+    named = members.join(label, F.col("rep") == F.col("id"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
     per = named.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count("*").alias("parts"))
     return stored(named.join(per.where("parts > 1").select("key", "main"), "key").withColumn("outside", F.col("comp") != F.col("main")), "unsettled")
 
 
+def _pair(x: str = "x", y: str = "y") -> list:
+    low = F.col(x) < F.col(y)
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), F.when(low, F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(low, F.col("ny")).otherwise(F.col("nx")).alias("nb")]
+
+
 def _across(some: DataFrame, others: DataFrame, percent: int) -> DataFrame:
-    """Pairs of outside members of some with members of others in the same bucket and another component, without those
-    that sizes or distances to the centre rule out."""
-    x = some.where("outside").select("key", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("d").alias("dx"), F.col("comp").alias("cx"))
-    y = others.select("key", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("comp").alias("cy"), "k")
-    could = (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & (F.coalesce(F.abs(F.col("dx") - F.col("dy")), F.lit(0.0)) <= 1 - percent / 100 + 1e-9)
-    met = x.join(y, "key").where((F.col("cx") != F.col("cy")) & could)
-    low = F.col("x") < F.col("y")
-    return met.select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(low, F.col("nx")).otherwise(F.col("ny")).alias("na"),
-        F.when(low, F.col("ny")).otherwise(F.col("nx")).alias("nb"), "k",
-    )
+    """Pairs of outside members of some with members of others in the same bucket and another component."""
+    x = some.where("outside").select("key", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
+    y = others.select("key", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
+    could = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
+    return x.join(y, "key").where((F.col("cx") != F.col("cy")) & could).select(*_pair())
+
+
+def _prefix_join(rest: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs of an outside set with a set of another component that may be linked, by prefixes and positions."""
+    sets = rest.join(full.withColumnRenamed("id", "rep"), "rep").withColumn("n", F.size("shingles").cast("long"))
+    tokens = stored(sets.select("rep", F.explode("shingles").alias("token")), "tokens")
+    ranked = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token", "left")
+    ordered = ranked.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "token"))).alias("order"))
+    prefix = F.slice("order", F.lit(1), (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+    held = ordered.join(sets.select("rep", "n", "outside", "comp"), "rep").select("rep", "n", "outside", "comp", F.posexplode(prefix).alias("at", "t")).where("t.df > 1")
+    held = stored(held.select("rep", "n", "outside", "comp", "at", "t.token"), "prefixes")
+    x = held.where("outside").select("token", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"), F.col("at").alias("ax"))
+    y = held.select("token", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), F.col("at").alias("ay"))
+    could = (100 + percent) * F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay")) >= percent * (F.col("nx") + F.col("ny"))
+    return x.join(y, "token").where((F.col("cx") != F.col("cy")) & could).select(*_pair())
 
 
 def _fitting(edges: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
