@@ -6,38 +6,37 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from meltline.llm import bpe, decontaminate, exact, minhash, quality
-from meltline.llm.common import stored, table
+from meltline.llm.common import counted, stored, table
 from meltline.llm.queries import RANKS
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in kept."""
-    return docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id isn't in dropped; texts move only where too many ids are dropped to be broadcast."""
+    return docs.join(counted(dropped.select("doc_id"), "dropped"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier (fitted on labels) doesn't reject."""
-    return _only(docs, quality.scored(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+    return _without(docs, quality.scored(docs, table(spark, sf_dir, "labels")).where("predicted = 0"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the one with the smallest doc_id."""
-    return _only(docs, exact.exact_duplicates(docs).where("kept"))
+    return _without(docs, exact.exact_duplicates(docs).where("NOT kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a Jaccard similarity of 0.8 or more over shingles of five words."""
-    return _only(docs, minhash.near_duplicates(docs, size=5, percent=80).where("kept"))
+    return _without(docs, minhash.near_duplicates(docs, size=5, percent=80).where("NOT kept"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of a benchmark item."""
-    return _only(docs, decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark")).where("not contaminated"))
+    return _without(docs, decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 WORD_CACHE = 1 << 19
 #: Bytes of text handled at once inside a Python worker.
 SLICE_BYTES = 4 << 20
+#: Ids up to which a table of them is broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: A-Z to lower case, every other ASCII byte outside 0-9 and a-z to a space; bytes of longer characters stay.
@@ -43,6 +45,12 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(ids: DataFrame, tag: str) -> DataFrame:
+    """A stored table of distinct ids, marked for broadcast where it has at most BROADCAST_IDS rows."""
+    made = stored(ids.distinct(), tag)
+    return F.broadcast(made) if made.count() <= BROADCAST_IDS else made
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Arrow batches of few rows, since one text may be very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

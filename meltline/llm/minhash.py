@@ -23,12 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, WordHash, components, lists, mapped, mixed, slices, stored
+from .common import LOWER, WordHash, components, counted, lists, mapped, mixed, slices, stored
 
 BINS, ROWS = 512, 8
 BANDS = BINS // ROWS
-#: Central members that are tried first, bucket keys that a task groups at once, and ids up to which they are broadcast.
-PROBES, CHUNK, BROADCAST = 8, 1 << 20, 2_000_000
+#: Central members that are tried first, and bucket keys that a task groups at once.
+PROBES, CHUNK = 8, 1 << 20
 _WORDS = WordHash()
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -195,9 +195,8 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
 
 def _sets_of(docs: DataFrame, edges: DataFrame, size: int) -> DataFrame:
     """Full sets of the ends of edges. Few ids are broadcast, so that texts stay where they are; many are shuffled."""
-    ends = stored(edges.select(F.col("a").alias("doc_id")).unionByName(edges.select(F.col("b").alias("doc_id"))).distinct(), "ends")
-    few = F.broadcast(ends) if ends.count() <= BROADCAST else ends
-    return stored(mapped(docs.join(few, "doc_id", "left_semi"), _full_sets(size), "id long, shingles array<long>"), "sets")
+    ends = counted(edges.select(F.col("a").alias("doc_id")).unionByName(edges.select(F.col("b").alias("doc_id"))), "ends")
+    return stored(mapped(docs.join(ends, "doc_id", "left_semi"), _full_sets(size), "id long, shingles array<long>"), "sets")
 
 
 def _unsettled(members: DataFrame, label: DataFrame) -> DataFrame:
