@@ -103,3 +103,32 @@ def reports(spark: SparkSession, folder: str) -> DataFrame:
     """Validation reports of a folder, by path."""
     rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(folder)
     return rows.withColumn("path", F.input_file_name()).orderBy("path")
+
+
+ITEM = (
+    "features array<struct<id: string, collection: string, bbox: array<double>, properties: struct<datetime: string, `sat:absolute_orbit`: int, "
+    "`sat:relative_orbit`: int, `sat:orbit_state`: string>>>"
+)
+
+
+def scene_items(spark: SparkSession, path: str) -> DataFrame:
+    """Scene records from item collections (JSON): id, collection, bounds, time and orbits, one row an item."""
+    rows = spark.read.schema(ITEM).option("multiLine", True).option("recursiveFileLookup", True).json(path).select(F.explode("features").alias("f"))
+    side = lambda i: F.get("f.bbox", i)
+    return rows.select(
+        "f.id", "f.collection", F.to_timestamp_ntz(F.regexp_replace("f.properties.datetime", r"(Z|\+00:00)$", "")).alias("datetime"),
+        F.col("f.properties.`sat:absolute_orbit`").alias("abs_orbit"), F.col("f.properties.`sat:relative_orbit`").alias("rel_orbit"), F.col("f.properties.`sat:orbit_state`").alias("orbit_state"),
+        side(0).alias("left"), side(1).alias("bottom"), side(2).alias("right"), side(3).alias("top"),
+    )
+
+
+def polygon_layer(spark: SparkSession, path: str, key: str, within: tuple[float, float, float, float] | None = None) -> list[tuple[int, list[tuple[float, float]]]]:
+    """Outer rings of a GeoJSON polygon layer by an integer property, of those that meet a box; a layer is a parameter."""
+    schema = f"features array<struct<properties: struct<`{key}`: bigint>, geometry: struct<coordinates: array<array<array<double>>>>>>"
+    rows = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
+    rings = rows.select(F.col(f"f.properties.`{key}`").alias("id"), F.get("f.geometry.coordinates", 0).alias("ring")).where("ring IS NOT NULL")
+    if within:
+        left, bottom, right, top = within
+        low, high = (lambda i: F.array_min(F.transform("ring", lambda p: p[i]))), (lambda i: F.array_max(F.transform("ring", lambda p: p[i])))
+        rings = rings.where((low(0) <= right) & (high(0) >= left) & (low(1) <= top) & (high(1) >= bottom))
+    return [(r.id, [tuple(p) for p in r.ring]) for r in rings.orderBy("id").collect()]
