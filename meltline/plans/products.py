@@ -129,7 +129,7 @@ def anomaly(spark, sf_dir):
 
 
 # Two versions of a yearly product: the second one differs by a rule.
-VERSIONS = """ver AS (SELECT pixel % 5 AS tile, pixel, water_year, CASE WHEN runoff_onset > 0 THEN runoff_onset::DOUBLE END AS a, CASE WHEN pixel % 11 <> 0 AND runoff_onset > 0 THEN runoff_onset + CASE WHEN pixel % 3 = 0 THEN 0.5 ELSE 0 END END AS b FROM onsets)"""
+VERSIONS = """ver AS (SELECT pixel % 5 AS tile, pixel, water_year, CASE WHEN runoff_onset > 0 THEN runoff_onset::DOUBLE END AS a, CASE WHEN pixel % 11 <> 0 AND runoff_onset > 0 THEN runoff_onset::DOUBLE + CASE WHEN pixel % 3 = 0 THEN 0.5::DOUBLE ELSE 0 END END AS b FROM onsets)"""
 
 
 def _versions(spark, sf_dir):

@@ -23,7 +23,7 @@ def text(v):
 
     import pandas as pd
 
-    if v is None or (isinstance(v, float) and math.isnan(v)) or v is pd.NaT:
+    if v is None or (isinstance(v, float) and math.isnan(v)) or v is pd.NaT or v is pd.NA:
         return "null"
     if hasattr(v, "isoformat"):
         return str(pd.Timestamp(v))
