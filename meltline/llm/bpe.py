@@ -22,10 +22,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import mapped, slices
+from .common import WordHash, mapped, slices
 
 #: Stable pairs and cached pieces that one worker keeps before it starts anew; longer pieces are never cached.
-PAIRS, PIECES, PIECE_CHARS = 1 << 20, 3 << 17, 64
+PAIRS, PIECES, UNITS, PIECE_CHARS = 1 << 19, 3 << 17, 3 << 16, 64
 #: Bytes of a long piece between two emissions.
 EMIT = 4096
 NEVER = 1 << 62
@@ -214,7 +214,7 @@ class Units(dict):
     def __missing__(self, unit: str) -> list[int]:
         ids = list(chain.from_iterable(map(self.pieces.__getitem__, self.split(" " + unit))))
         if len(unit) <= PIECE_CHARS:
-            if len(self) >= PIECES:
+            if len(self) >= UNITS:
                 self.clear()
             self[unit] = ids
         return ids
@@ -309,6 +309,7 @@ def tokenised(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        WordHash.release()  # a worker may come from a stage that hashed words
         names = [str(i) for i in range(max(machine(path)[0].token) + 1)]
         for batch, got in slices(batches):
             counts, digests, decoded, all_ids = [], [], [], []

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words kept in one worker's hash cache before it is emptied.
-WORD_CACHE = 1 << 19
+WORD_CACHE = 1 << 17
 #: Bytes of text handled at once inside a Python worker.
 SLICE_BYTES = 4 << 20
 #: Ids up to which a table of them is broadcast; more are joined by a shuffle.
@@ -79,7 +79,17 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[
 
 
 class WordHash(dict):
-    """Word to 64-bit hash; emptied when it holds WORD_CACHE words."""
+    """Word to 64-bit hash; emptied when it holds WORD_CACHE words, and by release()."""
+
+    made: list = []
+
+    def __init__(self):
+        self.made.append(self)
+
+    @classmethod
+    def release(cls) -> None:
+        for cache in cls.made:
+            cache.clear()
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= WORD_CACHE:
