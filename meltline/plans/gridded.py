@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -149,7 +151,10 @@ def resampled_mode(spark, sf_dir):
   w AS (SELECT ty, tx, dem, (1 - abs(g.y - sy)) * (1 - abs(g.x - sx)) AS w FROM t JOIN g ON abs(g.y - sy) < 1 AND abs(g.x - sx) < 1)
   SELECT t.ty, t.tx, round(v, 6) AS value FROM t LEFT JOIN (SELECT ty, tx, sum(w * dem) / sum(w) AS v FROM w GROUP BY 1, 2) q ON q.ty = t.ty AND q.tx = t.tx""")
 def resampled_bilinear(spark, sf_dir):
-    cells = spark.range(20 * 34).select((F.col("id") / 34).cast("int").alias("ty"), (F.col("id") % 34).cast("int").alias("tx"))
+    """The template covers every row of the grid, and 20 rows at least."""
+    last = _grid(spark, sf_dir).agg(F.max("y")).first()[0] or 0
+    rows = max(20, math.ceil((last + 0.75) / 1.5))
+    cells = spark.range(rows * 34).select((F.col("id") / 34).cast("int").alias("ty"), (F.col("id") % 34).cast("int").alias("tx"))
     cells = cells.withColumns({"sy": F.col("ty") * 1.5 + 0.25, "sx": F.col("tx") * 1.5 + 0.5})
     return rounded(spatial.resampled_bilinear(cells, _grid(spark, sf_dir).select("y", "x", F.col("dem").alias("value"))))
 

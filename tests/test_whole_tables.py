@@ -21,3 +21,7 @@ def same(spark, name, cut, instead, sf="sf0.001"):
 
 def test_boxes_with_all_points(spark):
     assert same(spark, "j10_boxes_with_points", "WHERE c_custkey % 10 = 0", "", "sf0.01") == 100
+
+
+def test_template_reaches_the_last_row(spark):
+    assert same(spark, "j05_resampled_bilinear", "range(0, 20)", "range(0, 27)", "sf0.01") == 27 * 34
