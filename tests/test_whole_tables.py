@@ -25,3 +25,7 @@ def test_boxes_with_all_points(spark):
 
 def test_template_reaches_the_last_row(spark):
     assert same(spark, "j05_resampled_bilinear", "range(0, 20)", "range(0, 27)", "sf0.01") == 27 * 34
+
+
+def test_log_is_consolidated_whole(spark):
+    assert same(spark, "u02_consolidated", "WHERE sequence % 3 <> 0", "") > 0
