@@ -63,7 +63,7 @@ def noise_mask(spark, sf_dir):
 @query("j01_seasonal_mask", W + d.MASKED + " SELECT pixel, orbit, l_orderkey, l_partkey, vv, vh, wl AS search_window_length FROM masked WHERE water_year < 2000")
 def seasonal_mask(spark, sf_dir):
     """J-01, J-02: equi-join on pixel and year with an interval on the day; rows stay."""
-    return d.masked_obs(spark, sf_dir).where("water_year < 2000").select("pixel", "orbit", "l_orderkey", "l_partkey", "vv", "vh", "search_window_length")
+    return d.masked_obs(spark, sf_dir).select("pixel", "orbit", "l_orderkey", "l_partkey", "vv", "vh", "search_window_length")
 
 
 @query("j03_all_masks", W + d.OBS + "," + d.PHENOLOGY + """ SELECT o.pixel, o.water_year, count(*) AS n,

@@ -29,3 +29,7 @@ def test_template_reaches_the_last_row(spark):
 
 def test_log_is_consolidated_whole(spark):
     assert same(spark, "u02_consolidated", "WHERE sequence % 3 <> 0", "") > 0
+
+
+def test_masked_rows_of_all_years_stay(spark):
+    assert same(spark, "j01_seasonal_mask", "WHERE water_year < 2000", "") == 6000
