@@ -86,24 +86,44 @@ def _ssn_ok(d: str) -> bool:
     return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
 
 
+#: No value starts inside a word or number, nor at a group of thousands after a comma.
+_START = r"(?<![\w.@+-])(?!(?<=\d,)\d{3}(?![\d.-]))"
+_SPELLINGS = {
+    "ip": r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
+    "iban": r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?",
+    "iso": r"\d{4}[-/.]\d{1,2}[-/.]\d{1,2}",
+    "day": r"\d{1,2}[-/.]\d{1,2}[-/.]\d{4}",
+    "ssn": r"\d{3}-\d{2}-\d{4}",
+    "card": r"\d(?:[ -]?\d){12,18}",
+    "intl": r"\+[2-9]\d{0,2}[ .-]?(?:\(?\d{1,4}\)?[ .-]?){2,5}\d{2,4}",
+    "phone": r"(?:\+?1[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}",
+}
+_ONE = {kind: re.compile(rf"{_START}(?:{form})(?![\w@])", re.A) for kind, form in _SPELLINGS.items()}
 _FORMS = re.compile(
-    r"""(?<![\w.,@+-])(?:
-    (?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?!\.?\d)
-    |(?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)
-    |(?P<iso>\d{4}[-/.]\d{1,2}[-/.]\d{1,2})
-    |(?P<day>\d{1,2}[-/.]\d{1,2}[-/.]\d{4})
-    |(?P<ssn>\d{3}-\d{2}-\d{4})
-    |(?P<card>\d(?:[ -]?\d){12,18})
-    |(?P<intl>\+[2-9]\d{0,2}[ .-]?(?:\(?\d{1,4}\)?[ .-]?){2,5}\d{2,4})
-    |(?P<phone>(?:\+?1[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4})
-    )(?![\w@])|(?<=[\s(,;:"'])(?P<plus>\+1[ .-]?(?:\(\d{3}\)[ ]?|\d{3}[ .-]?)\d{3}[ .-]?\d{4})(?!\w)""",
-    re.X | re.A,
+    rf"""{_START}(?:{"|".join(f"(?P<{kind}>{form})" for kind, form in _SPELLINGS.items())})(?![\w@])"""
+    r"""|(?<=[\s(,;:"'])(?P<plus>\+1[ .-]?(?:\(\d{3}\)[ ]?|\d{3}[ .-]?)\d{3}[ .-]?\d{4})(?!\w)""",
+    re.A,
 )
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}")
 _SECRET = re.compile(r"""(?i:(?:token|secret|passw(?:or)?d|api[_-]?key|key)["']?\s{0,3}[:=]\s{0,3})["']?([0-9a-fA-F]{24,128})(?![0-9a-zA-Z])""")
 _MAY_HOLD = re.compile(r"[0-9](?:[^A-Za-z\n]?[0-9]){5}|[0-9][-/.][0-9]{1,2}[-/.][0-9]", re.A)
 
 
+def _groupings(kind: str, value: str) -> list[str]:
+    """What a found value may be without its last groups: cards by their fewest digits first, others longest first."""
+    if kind not in ("card", "iban", "intl"):
+        return [value]
+    found = [value[: m.start()] for m in re.finditer(r"(?<=[0-9A-Z)])[ .-]", value)] + [value]
+    return found if kind == "card" else found[::-1]
+
+
+def _looks_like_card(value: str) -> bool:
+    """One run of digits, or an issuer's number in the groups usual on cards."""
+    sizes = [len(g) for g in re.split("[ -]", value)]
+    usual = sizes in ([4, 6, 4], [4, 6, 5]) or max(sizes) == 4 and set(sizes[:-1]) == {4}
+    return len(sizes) == 1 or usual and not (" " in value and "-" in value) and bool(re.match("[3-6]|2[2-7]", value))
+
+
 class Pseudonyms:
     """of() a found value by its kind: its pseudonym, or None where it isn't valid."""
 
@@ -233,12 +253,40 @@ class Pseudonyms:
         hexes = ("0123456789abcdef",) if v == v.lower() else ("0123456789ABCDEF",) if v == v.upper() else self._CLASSES
         return self._spelled("secret", v, hexes)
 
+    def _sure(self, text: str, at: int) -> tuple[tuple[str, str] | None, str | None]:
+        """Kind and spelling of the value that starts at a place, and the card there that doesn't look like one."""
+        odd = None
+        for kind, form in _ONE.items():
+            m = form.match(text, at)
+            for v in _groupings(kind, m[0]) if m else ():
+                if self.of(kind, v) is None:
+                    continue
+                if kind != "card" or _looks_like_card(v):
+                    return (kind, v), odd
+                odd = odd or v
+        return None, odd
+
+    def values(self, text: str) -> Iterator[tuple[int, int, str, str]]:
+        """Start, end, kind and spelling of valid values; where none is at a place, the search goes on right behind it."""
+        at = 0
+        while m := _FORMS.search(text, at):
+            start = m.start()
+            if m.lastgroup == "plus":
+                found = ("plus", m[0]) if self.of("plus", m[0]) is not None else None
+            else:
+                found, odd = self._sure(text, start)
+                if not found and odd and not any(self._sure(text, start + g.start())[0] for g in re.finditer(r"(?<=[ -])\d", odd)):
+                    found = ("card", odd)
+            at = start + (len(found[1]) if found else 1)
+            if found:
+                yield start, at, *found
+
     def text(self, text: str) -> tuple[str, dict[str, int]]:
         found: list[tuple[int, int, str, str]] = []
         if "@" in text:
             found += [(m.start(), m.end(), "email", m[0]) for m in _EMAIL.finditer(text)]
         if _MAY_HOLD.search(text):
-            found += [(m.start(), m.end(), m.lastgroup, m[0]) for m in _FORMS.finditer(text)]
+            found += self.values(text)
         if "=" in text or ":" in text:
             found += [(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
         if not found:

@@ -1,4 +1,5 @@
 import random
+import re
 
 import brute
 import pytest
@@ -157,6 +158,23 @@ def test_pii(spark, empty):
     assert pii.pseudonymised(empty, "k").count() == 0
 
 
+@pytest.mark.parametrize("text, clear, kinds", [
+    ("card 4111111111111111 97.51.17.173", "4111111111111111 97.51.17.173", "card ip"), ("4111 1111 1111 1111 12/05/2020", "4111 1111 1111 1111 12/05/2020", "card day"),
+    ("5 4111111111111111", "4111111111111111", "card"), ("2023 123-45-6789", "123-45-6789", "ssn"), ("1234 212-555-0100", "212-555-0100", "phone"), ("212-555-0100 123", "212-555-0100", "phone"),
+    ("name,4111111111111111,x", "4111111111111111", "card"), ("17,4111111111111111,123-45-6789", "4111111111111111 123-45-6789", "card ssn"), ("BE71 0961 2345 6769 2023", "0961", "iban"),
+    ("+44 20 7946 0958 2023", "7946", "intl"), ("1,000,000 rows, 4,212 555 0100", "", ""),
+])
+def test_pii_beside_numbers(text, clear, kinds):
+    out, counts = pii.Pseudonyms(b"k").text(text)
+    assert " ".join(sorted(counts)) == " ".join(sorted(kinds.split())) and len(out) == len(text) and (out != text) == bool(kinds)
+    assert not any(value in out for value in clear.split() if len(value) > 4 or value in ("0961", "7946"))
+
+
+def test_pii_equal_cards_beside_any_number():
+    p = pii.Pseudonyms(b"k")
+    assert {p.text(f"4111111111111111 {n}")[0][:16] for n in range(200)} == {p.text(f"{n} 4111111111111111")[0][-16:] for n in range(200)} == {p.text("4111111111111111")[0]}
+
+
 @pytest.mark.parametrize("size", [2, 3, 10, 97, 1000])
 def test_permutations(size):
     p = pii.Permutation(b"key", "t", size)
