@@ -176,9 +176,10 @@ class Pseudonyms:
     def _phone(self, v: str) -> str | None:
         digits = re.sub(r"\D", "", v)
         head, own = digits[:-10], digits[-10:]
-        if not _phone_ok(own):
-            return None
-        return _refill(v, head + _number(own, _phone_ok, self.permute("phone", 10**10)))
+        valid = _phone_ok
+        if v[0] == "+" or "(" in v:  # the spelling says that it is a phone, whatever its area code begins with
+            valid = lambda d: d[3] in "23456789" and (d[0] in "01") == (own[0] in "01")
+        return _refill(v, head + _number(own, valid, self.permute("phone", 10**10))) if valid(own) else None
 
     _plus = _phone
 

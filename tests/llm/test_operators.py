@@ -170,6 +170,14 @@ def test_pii_beside_numbers(text, clear, kinds):
     assert not any(value in out for value in clear.split() if len(value) > 4 or value in ("0961", "7946"))
 
 
+def test_pii_any_area_code_where_spelled_as_phone():
+    texts = ["+1 (017) 555-7713", "+1 (117) 555-7713", "(017) 555-7713", "(310) 555-7713", "017-555-7713"]
+    out = [pii.Pseudonyms(b"k").text(x)[0] for x in texts]
+    digits = [re.sub(r"\D", "", x)[-10:] for x in out]
+    assert [a != b for a, b in zip(texts, out)] == [True, True, True, True, False] and len(set(digits)) == 4
+    assert digits[0] == digits[2] and {d[0] in "01" for d in digits[:3]} == {True} and digits[3][0] in "23456789" and all(d[3] in "23456789" for d in digits)
+
+
 def test_pii_equal_cards_beside_any_number():
     p = pii.Pseudonyms(b"k")
     assert {p.text(f"4111111111111111 {n}")[0][:16] for n in range(200)} == {p.text(f"{n} 4111111111111111")[0][-16:] for n in range(200)} == {p.text("4111111111111111")[0]}
