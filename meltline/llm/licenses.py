@@ -8,6 +8,8 @@ one that lies inside another of the same or a higher priority is suppressed, par
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +39,10 @@ fdl-1.3 | free documentation | gnu free documentation (?:license|licence)(?: v?e
 fdl-1.2 | free documentation | gnu free documentation (?:license|licence)(?: v?ersion)?(?: v)? ?1 2
 fdl | free documentation | gnu free documentation (?:license|licence)
 mit | mit | (?:the )?mit (?:x11 )?(?:license|licence)
-mit-0 | mit | mit (?:no attribution|0 license|0)
-x11 | x11 | (?:x11|x consortium) (?:license|licence)
+mit-0 | mit no | mit no attribution
+mit-0 | mit 0 | mit 0(?: license)?
+x11 | x11 | x11 (?:license|licence)
+x11 | x consortium | x consortium (?:license|licence)
 bsd-2-clause | bsd | (?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd|two clause bsd)(?: license| licence)?
 bsd-3-clause | bsd | (?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd|three clause bsd)(?: license| licence)?
 bsd-4-clause | bsd | (?:original bsd|old bsd|bsd 4 clause|4 clause bsd|four clause bsd)(?: license| licence)?
@@ -78,7 +82,7 @@ cc0-1.0 | creative commons | creative commons (?:zero|cc0)(?: v?1 0)?(?: univers
 cc-pdm-1.0 | public domain | public domain mark(?: 1 0)?
 public-domain | public domain | (?:in|into|to) the public domain
 ofl-1.1 | open font | (?:sil )?open font (?:license|licence)(?: v?ersion)?(?: v)?(?: 1 1)?
-odbl-1.0 | open database | open (?:data commons )?(?:open )?database (?:license|licence)(?: v?1 0)?
+odbl-1.0 | database licen | open (?:data commons )?(?:open )?database (?:license|licence)(?: v?1 0)?
 odc-by-1.0 | open data commons | open data commons attribution (?:license|licence)
 pddl-1.0 | public domain dedication | public domain dedication and (?:license|licence)
 ogl-3.0 | open government | open government (?:license|licence)(?: v?ersion)?(?: v)? ?3(?: 0)?
@@ -90,7 +94,8 @@ ms-pl | microsoft | microsoft public (?:license|licence)
 ms-rl | microsoft | microsoft reciprocal (?:license|licence)
 ncsa | illinois | university of illinois ncsa open source (?:license|licence)
 postgresql | postgresql | postgresql (?:license|licence)
-unicode | unicode | unicode (?:license agreement|license|terms of use)
+unicode | unicode | unicode (?:license agreement|license)
+unicode | unicode terms | unicode terms of use
 w3c | w3c | w3c software (?:notice and )?(?:license|licence)
 afl-3.0 | academic free | academic free (?:license|licence)(?: v?ersion)?(?: v)?(?: 3 0)?
 osl-3.0 | open software | open software (?:license|licence)(?: v?ersion)?(?: v)?(?: 3 0)?
@@ -128,7 +133,7 @@ reserved | unauthorized copying | unauthorized copying of this file | 2
 proprietary | proprietary | proprietary and confidential | 2
 proprietary | confidential | confidential and proprietary | 2
 copyright | copyright | copyright (?:c )?(?:19|20)\d\d | 1
-no-warranty | without warranty | without (?:any )?warranty | 1
+no-warranty | warranty | without (?:any )?warranty | 1
 no-derivatives | derivative works | no derivative works | 1
 """
 
@@ -138,7 +143,7 @@ CC_WORDS = {"by": "attribution", "sa": "share ?alike", "nc": "non ?commercial",
 CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
 #: Words before a name that make it a grant.
 GRANT = r"(?:(?:re)?(?:licensed|released|distributed|available|published|provided)(?: only)? (?:under|in accordance with)(?: the)?(?: terms of)?(?: the)?|licen[sc]e) "
-#: If none of these occurs, no rule can match.
+#: Words of which most rules need one; families() adds what the others need.
 FAMILIES = (
     "licen", "copyright", "rights reserved", "public domain", "gpl", "cc by", "cc0", "bsd", "spdx", "warranty", "permission", "redistribut",
     "creative commons", "wtfpl", "proprietary", "affero", "general public", "free software", "cecill", "commons clause", "same terms as perl",
@@ -168,6 +173,19 @@ def rules() -> list[tuple[str, str, str, int]]:
     return out
 
 
+def families() -> list[str]:
+    """Words of which one is in every match of every rule: FAMILIES, and the keywords of rules that match without them."""
+    out = list(FAMILIES)
+    for _, keyword, pattern, _ in rules():
+        fixed = re.sub(r"\(\?:licen[cs]e(?: agreement)?\|licen[cs]e\)(?![?*])", "licen", pattern)
+        while fixed != (fixed := re.sub(r"\((?:\?:)?[^()]*\)[?*]?", "|", fixed)):
+            pass
+        fixed = re.sub(r"\\d|\[[^]]*\]|.\?", "|", fixed)
+        if keyword not in out and not any(f in fixed for f in FAMILIES):
+            out.append(keyword)
+    return out
+
+
 def word_form(text: Column) -> Column:
     """Lower-case words, each with one space on both sides: empty, or ' w1 w2 '."""
     low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -226,7 +244,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", word_form(F.col("text")).alias("form"))
     form = F.col("form")
-    any_family = form.rlike("|".join(FAMILIES))
+    any_family = form.rlike("|".join(families()))
     out = rows.withColumn("n_words", F.greatest(F.lit(0), F.length(form) - F.length(F.replace(form, F.lit(" "), F.lit(""))) - 1).cast("long"))
     out = out.withColumn("gate", any_family)
     doubled = F.when(form.rlike("|".join(f" {p} " for p, _ in PHRASES)), F.replace(form, F.lit(" "), F.lit("  "))).otherwise(F.lit(""))

@@ -260,6 +260,41 @@ def test_licences(spark, docs, corpus, empty):
     assert licenses.scanned(empty).count() == 0 and len(licenses.rules()) > 200
 
 
+def spellings(parsed):
+    """What a parsed rule matches: each alternative, optional parts with and without, one digit for all."""
+    out = [""]
+    for op, arg in parsed:
+        match str(op):
+            case "LITERAL":
+                more = [chr(arg)]
+            case "IN":
+                more = [chr(a) for o, a in arg if str(o) == "LITERAL"] or ["7"]
+            case "BRANCH":
+                more = [x for branch in arg[1] for x in spellings(branch)]
+            case "SUBPATTERN":
+                more = spellings(arg[-1])
+            case "MAX_REPEAT":
+                more = [*([""] if arg[0] == 0 else []), *spellings(arg[2])]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_licence_gates_let_every_rule_through():
+    gate = re.compile("|".join(licenses.families()))
+    bad = []
+    for label, keyword, pattern, _ in licenses.rules():
+        for text in spellings(re._parser.parse(pattern.removeprefix(licenses.GRANT))):
+            if not (re.fullmatch(pattern.removeprefix(licenses.GRANT), text) and keyword in text and gate.search(f" {text} ")):
+                bad.append((label, keyword, text))
+    assert not bad
+
+
+def test_licence_names_without_the_word(spark):
+    texts = ["Released under Apache v2.0", "see the Unicode terms of use", "X Consortium License", "Open Data Commons Database License", "without any warranty", "MIT No Attribution", "MIT-0"]
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scanned(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    assert all(label in got[i] for i, label in enumerate(["apache-2.0", "unicode", "x11", "odbl-1.0", "no-warranty", "mit-0", "mit-0"])), got
+
+
 def test_licence_intervals(spark):
     d = spark.createDataFrame([(1, "mit license here " * 3 + "licensed under the mit license and licensed under the gnu general public license version 2 0")], DOCS)
     found = [(x.label, x.priority) for x in licenses.scanned(d).first().detections]
