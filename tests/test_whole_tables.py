@@ -33,3 +33,9 @@ def test_log_is_consolidated_whole(spark):
 
 def test_masked_rows_of_all_years_stay(spark):
     assert same(spark, "j01_seasonal_mask", "WHERE water_year < 2000", "") == 6000
+
+
+@pytest.mark.parametrize("name", sorted(n for n in ORACLES if n == "j08_catalogue" or n.startswith("f07_")))
+def test_catalogue_holds_every_tile_and_result(spark, name):
+    cut, instead = '(SELECT * FROM tiles WHERE "row" <> 3) t FULL JOIN (SELECT * FROM last WHERE col <> 5) l', "tiles t FULL JOIN last l"
+    assert same(spark, name, cut, instead) > 0
