@@ -14,24 +14,27 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, islice, repeat
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import WordHash, mapped, slices
+from .common import gathered, holding, lists, mapped, release
 
-#: Stable pairs and cached pieces that one worker keeps before it starts anew; longer pieces are never cached.
-PAIRS, PIECES, UNITS, PIECE_CHARS = 1 << 19, 3 << 17, 3 << 16, 64
+#: What a worker keeps before it starts anew: stable pairs, transitions, rows of states, pieces, units; no slice of
+#: texts leaves pieces or units of more than UNIT_CHARS behind.
+PAIRS, MOVES, ROWS, PIECES, UNITS, UNIT_CHARS = 1 << 18, 1 << 18, 1 << 14, 1 << 17, 1 << 18, 64
+#: Bytes of text taken at once, pieces encoded at once, the longest piece among these, and bits of the table of pairs.
+SLICE, BLOCK, TOGETHER, KNOWN_BITS = 4 << 20, 1 << 15, 64, 20
+FREE, ODD, LATE = np.uint64((1 << 64) - 1), np.uint64(0x9E3779B97F4A7C15), (1 << 31) - 1
 #: Bytes of a long piece between two emissions.
 EMIT = 4096
 NEVER = 1 << 62
-#: The pattern for which single spaces separate independent units, and a test for spaces that aren't single or inner.
+#: The pattern for which single spaces separate independent units.
 SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-UNSURE = re.compile(r" [\s\x1c-\x1f]|[\s\x1c-\x1f] | \Z").search
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -78,6 +81,8 @@ class Transducer:
             to = self.child.get(state << 8 | byte)
             if to is None:
                 to = self._move(self._suffix(state), byte) if state else 0
+            if len(self.moves) >= MOVES:
+                self.moves.clear()
             self.moves[state << 8 | byte] = to
             self._ending(to)
         return to
@@ -190,44 +195,227 @@ class Transducer:
         return last[cut:]
 
 
-class Pieces(dict):
-    """Piece of text to its ids; emptied when it holds PIECES of them."""
+class Pairs:
+    """A vectorised hash table from pairs of tokens to a number: open addressing, at most half full."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, default: int):
+        bits = max(4, (2 * len(keys)).bit_length())
+        self.shift, self.mask, self.default = np.uint64(64 - bits), (1 << bits) - 1, default
+        self.keys, self.values = np.full(1 << bits, FREE, np.uint64), np.full(1 << bits, default, np.int32)
+        at = self._first(keys)
+        while len(keys):
+            free = self.keys[at] == FREE
+            self.keys[at[free]] = keys[free]  # of several keys for one place, the last one stays
+            own = self.keys[at] == keys
+            self.values[at[own]] = values[own]
+            keys, values, at = keys[~own], values[~own], (at[~own] + 1) & self.mask
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * ODD >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        out, at, left = np.full(len(keys), self.default, np.int32), self._first(keys), None
+        while True:
+            seen = self.keys[at]
+            here = seen == keys
+            out[here if left is None else left[here]] = self.values[at[here]]
+            go = ~here & (seen != FREE)
+            if not go.any():
+                return out
+            left = np.flatnonzero(go) if left is None else left[go]
+            keys, at = keys[go], (at[go] + 1) & self.mask
+
+
+class Batch:
+    """The transducer run over many pieces at once, a byte of each at a time.
+
+    Transitions and ending tokens that the machine has built so far are held as arrays with a row for each state;
+    unknown ones are asked of the machine. Stability of pairs is kept in a table where a newer pair takes an older
+    one's place, and is worked out for all unknown pairs together.
+    """
 
     def __init__(self, machine: Transducer):
-        self.machine = machine
-
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.machine.encode(piece.encode())
-        if len(piece) <= PIECE_CHARS:
-            if len(self) >= PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
-class Units(dict):
-    """A run of characters without ASCII space to the ids of its pieces with a space before it."""
-
-    def __init__(self, pieces: Pieces, pattern: str):
-        self.pieces, self.split = pieces, regex.compile(pattern).findall
-
-    def __missing__(self, unit: str) -> list[int]:
-        ids = list(chain.from_iterable(map(self.pieces.__getitem__, self.split(" " + unit))))
-        if len(unit) <= PIECE_CHARS:
-            if len(self) >= UNITS:
-                self.clear()
-            self[unit] = ids
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text. With the public pattern a piece never goes on from other characters into white space, so
-        single spaces cut a text into units that don't depend on each other; else the pattern splits the whole text."""
-        if self.split.__self__.pattern != SPACED or UNSURE(text):
-            return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
-        first, *rest = text.split(" ")
-        ids = list(chain.from_iterable(map(self.pieces.__getitem__, self.split(first))))
-        ids.extend(chain.from_iterable(map(self.__getitem__, rest)))
-        return ids
+        self.machine, most = machine, max(machine.token)
+        self.start = most + 1  # stands before a piece
+        self.length = np.zeros(most + 2, np.int32)
+        for r, b in machine.token.items():
+            self.length[r] = len(b)
+        merges = {a << 32 | c: r for b, r in machine.ranks.items() for i in range(1, len(b)) if (a := machine.ranks.get(b[:i])) is not None and (c := machine.ranks.get(b[i:])) is not None}
+        self.merges = Pairs(np.fromiter(merges, np.uint64, len(merges)), np.fromiter(merges.values(), np.int32, len(merges)), LATE)
+        self.known = np.full(1 << KNOWN_BITS, FREE, np.uint64)  # pair << 1 | stable
+        self.chain = np.full((2, most + 1), -1, np.int32)
+        self.chain_token, self.chain_end, self.chained = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), 0
+        self._forget()
+
+    def _forget(self) -> None:
+        self.row, self.state = {0: 0}, [0]
+        self.moves = np.full((1024, 256), -1, np.int32)
+        self.first, self.tokens = np.zeros(1024, np.int32), np.zeros(1024, np.int32)
+        self.held = 0
+
+    def _row(self, state: int) -> int:
+        row = self.row.get(state)
+        if row is None:
+            row = self.row[state] = len(self.state)
+            self.state.append(state)
+            if row >= len(self.moves):
+                self.moves = np.concatenate([self.moves, np.full_like(self.moves, -1)])
+                self.first = np.concatenate([self.first, self.first])
+            ending = [token for token, _ in self.machine._ending(state)]
+            while self.held + len(ending) > len(self.tokens):
+                self.tokens = np.concatenate([self.tokens, self.tokens])
+            self.first[row] = self.held
+            self.tokens[self.held : self.held + len(ending)] = ending
+            self.held += len(ending)
+        return row
+
+    def _move(self, rows: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        to = self.moves[rows, byte]
+        if (to < 0).any():
+            for both in np.unique(rows[to < 0].astype(np.int64) << 8 | byte[to < 0]).tolist():
+                target = self._row(self.machine._move(self.state[both >> 8], both & 255))
+                self.moves[both >> 8, both & 255] = target
+            to = self.moves[rows, byte]
+        return to
+
+    def _chains(self, side: int, tokens: np.ndarray) -> np.ndarray:
+        """Where the tokens that touch one side of each token begin in the chain arrays, innermost first."""
+        at = self.chain[side, tokens]
+        if (at < 0).any():
+            for token in np.unique(tokens[at < 0]).tolist():
+                edge = self.machine._edge(token, side)[::-1]
+                while self.chained + len(edge) > len(self.chain_token):
+                    self.chain_token, self.chain_end = (np.concatenate([x, x]) for x in (self.chain_token, self.chain_end))
+                span = slice(self.chained, self.chained + len(edge))
+                self.chain_token[span], self.chain_end[span] = [t for t, _ in edge], [min(e, LATE) for _, e in edge]
+                self.chain[side, token] = self.chained
+                self.chained += len(edge)
+            at = self.chain[side, tokens]
+        return at
+
+    def _judge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether no merge crosses from a to b, for many pairs; the steps are those of Transducer._pair."""
+        left, right = self._chains(1, a), self._chains(0, b)
+        out, who = np.ones(len(a), bool), np.arange(len(a))
+        while len(who):
+            x_end, y_end = self.chain_end[left], self.chain_end[right]
+            rank = self.merges.get(self.chain_token[left].astype(np.uint64) << np.uint64(32) | self.chain_token[right].astype(np.uint64))
+            crossed = (rank < x_end) & (rank <= y_end)
+            out[who[crossed]] = False
+            go = ~crossed & ((x_end != LATE) | (y_end != LATE))
+            pop = x_end <= y_end
+            left, right, who = (left + pop)[go], (right + ~pop)[go], who[go]
+        return out
+
+    def _stable(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+        at = (pair * ODD >> np.uint64(64 - KNOWN_BITS)).astype(np.int64)
+        seen = self.known[at]
+        out = (seen & np.uint64(1)).astype(bool)
+        out[a == self.start] = True
+        new = np.flatnonzero((seen >> np.uint64(1) != pair) & (a != self.start))
+        if len(new):
+            own, first, back = np.unique(pair[new], return_index=True, return_inverse=True)
+            good = self._judge(a[new[first]], b[new[first]])
+            self.known[at[new[first]]] = own << np.uint64(1) | good.astype(np.uint64)
+            out[new] = good[back]
+        return out
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, longest pieces first, as little-endian 32-bit numbers. No piece is empty."""
+        if len(self.state) > ROWS:
+            self._forget()
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        begin = np.cumsum(size) - size
+        last = np.full((len(size), int(size[0]) + 1), self.start, np.int32)
+        state = np.zeros(len(size), np.int32)
+        for at in range(1, int(size[0]) + 1):
+            n = int(np.searchsorted(-size, -at, side="right"))
+            state = self._move(state[:n], data[begin[:n] + at - 1])
+            who, k = np.arange(n), self.first[state]
+            while len(who):
+                token = self.tokens[k]
+                good = self._stable(last[who, at - self.length[token]], token)
+                last[who[good], at] = token[good]
+                who, k = who[~good], k[~good] + 1
+        return self._back(last, size)
+
+    def _back(self, last: np.ndarray, size: np.ndarray) -> list[bytes]:
+        """Tokens on the way from the ends back to the starts."""
+        at, who, path = size.copy(), np.arange(len(size)), []
+        while len(who):
+            token = last[who, at[who]]
+            path.append((who, token))
+            at[who] -= self.length[token]
+            who = who[at[who] > 0]
+        count = np.zeros(len(size), np.int64)
+        for who, _ in path:
+            count[who] += 1
+        end = np.cumsum(count)
+        flat = np.zeros(int(end[-1]), "<u4")
+        for j, (who, token) in enumerate(path):
+            flat[end[who] - 1 - j] = token
+        raw = flat.tobytes()
+        return [raw[a:b] for a, b in zip(((end - count) * 4).tolist(), (end * 4).tolist())]
+
+
+class Encoder:
+    """encode() many texts: the ids of each as an array. Pieces and units seen lately are kept with their ids."""
+
+    def __init__(self, machine: Transducer, pattern: str):
+        self.machine, self.batch, self.split = machine, Batch(machine), regex.compile(pattern).findall
+        self.single = pattern == SPACED
+        self.pieces: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
+
+    def _learn(self, wanted: Iterable[str]) -> None:
+        """Adds pieces to the table: tokens as they are, long pieces one by one as a stream, all others together."""
+        new = list(set(wanted).difference(self.pieces))
+        raw = list(map(str.encode, new))
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        token = np.fromiter(map(self.machine.ranks.get, raw, repeat(-1)), np.int64, len(raw))
+        whole = np.flatnonzero(token >= 0)
+        ids = token[whole].astype("<u4").tobytes()
+        self.pieces.update(zip(map(new.__getitem__, whole.tolist()), [ids[i : i + 4] for i in range(0, len(ids), 4)]))
+        for i in np.flatnonzero((token < 0) & (size > TOGETHER)).tolist():
+            self.pieces[new[i]] = np.array(self.machine.encode(raw[i]), "<u4").tobytes()
+        short = np.flatnonzero((token < 0) & (size <= TOGETHER))
+        short = short[np.argsort(-size[short], kind="stable")].tolist()
+        for k in range(0, len(short), BLOCK):
+            block = short[k : k + BLOCK]
+            self.pieces.update(zip(map(new.__getitem__, block), self.batch.encode(list(map(raw.__getitem__, block)))))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """With the public pattern a piece never goes on from other characters into white space, so single spaces cut
+        a text into units that don't depend on each other; else the pattern splits the whole text."""
+        if self.single:
+            rest = [t.split(" ") for t in texts]
+            whole = [units.pop(0) for units in rest]
+            unknown = set(chain.from_iterable(rest)).difference(self.units)
+            if unsure := {u for u in unknown if not u or u[0].isspace() or u[-1].isspace()}:
+                unknown -= unsure
+            for i, (first, units) in enumerate(zip(whole, rest)):
+                if units and first[-1:].isspace() or unsure and not unsure.isdisjoint(units):
+                    whole[i], rest[i] = texts[i], []
+        else:
+            whole, rest, unknown = texts, [()] * len(texts), ()
+        whole = list(map(self.split, whole))
+        cut = self.split(" " + " ".join(unknown)) if unknown else []
+        self._learn(chain(chain.from_iterable(whole), cut))
+        get = self.pieces.__getitem__
+        begin = [i for i, p in enumerate(cut) if p[0] == " "]
+        ids = list(map(get, cut))
+        for u, a, b in zip(unknown, begin, [*begin[1:], len(cut)]):
+            self.units[u] = ids[a] if b == a + 1 else b"".join(ids[a:b])
+        out = [np.frombuffer(b"".join(chain(map(get, a), map(self.units.__getitem__, b))), "<u4") for a, b in zip(whole, rest)]
+        for cache, new, most in ((self.units, unknown, UNITS), (self.pieces, set(chain(cut, *whole)), PIECES)):
+            if len(cache) > most:
+                cache.clear()
+            else:
+                for long in [u for u in new if len(u) > UNIT_CHARS]:
+                    del cache[long]
+        return out
 
 
 #: States: 0 between characters; 1, 2, 3: so many plain continuation bytes are due; 4 to 7: after E0, ED, F0, F4, whose
@@ -277,27 +465,32 @@ class StreamingDecoder:
         return left
 
 
-_MACHINES: dict[str, tuple[Transducer, Pieces]] = {}
-_UNITS: dict[tuple[str, str], Units] = {}
+#: The tables of this worker, by rank file, and by rank file and pattern; freed when it turns to another operator.
+_MACHINES: dict[str, Transducer] = holding({})
+_ENCODERS: dict[tuple[str, str], Encoder] = holding({})
 
 
-def machine(path: str) -> tuple[Transducer, Pieces]:
+def machine(path: str) -> Transducer:
     if path not in _MACHINES:
-        made = Transducer(read_ranks(path))
-        _MACHINES[path] = made, Pieces(made)
+        _MACHINES[path] = Transducer(read_ranks(path))
     return _MACHINES[path]
 
 
+def encoder(path: str, pattern: str) -> Encoder:
+    release(_MACHINES, _ENCODERS)
+    if (path, pattern) not in _ENCODERS:
+        _ENCODERS[path, pattern] = Encoder(machine(path), pattern)
+    return _ENCODERS[path, pattern]
+
+
 def encode(text: str, path: str, pattern: str) -> list[int]:
     """Ids of a text, each match of pattern encoded by itself."""
-    if (path, pattern) not in _UNITS:
-        _UNITS[path, pattern] = Units(machine(path)[1], pattern)
-    return _UNITS[path, pattern].encode(text)
+    return encoder(path, pattern).encode([text])[0].tolist()
 
 
 def decode(ids: list[int], path: str, step: int = 65536) -> bytes:
     """Bytes of ids, decoded in steps of so many ids."""
-    decoder = StreamingDecoder(machine(path)[0].token)
+    decoder = StreamingDecoder(machine(path).token)
     return b"".join([*(decoder.push(ids[i : i + step]) for i in range(0, len(ids), step)), decoder.end()])
 
 
@@ -309,19 +502,21 @@ def tokenised(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        WordHash.release()  # a worker may come from a stage that hashed words
-        names = [str(i) for i in range(max(machine(path)[0].token) + 1)]
-        for batch, got in slices(batches):
-            counts, digests, decoded, all_ids = [], [], [], []
-            for t in got:
-                ids = encode(t.decode() if t else "", path, pattern)
-                counts.append(len(ids))
-                digests.append(hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(decode(ids, path)).hexdigest())
-                if with_ids:
-                    all_ids.append(ids)
-            columns = [batch.column(batch.schema.get_field_index("doc_id")), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
-            columns += [pa.array(all_ids, pa.list_(pa.int32()))] if with_ids else []
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(columns)])
+        coder = encoder(path, pattern)
+        names = [str(i) for i in range(coder.batch.start)]
+        for some in gathered(batches, SLICE):
+            encoded = iter(coder.encode([t.decode() if t else "" for _, got in some for t in got]))
+            for batch, got in some:
+                counts, digests, decoded, all_ids = [], [], [], [np.zeros(0, "<u4")]
+                for found in islice(encoded, len(got)):
+                    ids = found.tolist()
+                    counts.append(len(ids))
+                    digests.append(hashlib.sha256(" ".join([names[i] for i in ids]).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(decode(ids, path)).hexdigest())
+                    if with_ids:
+                        all_ids.append(found)
+                columns = [batch.column(batch.schema.get_field_index("doc_id")), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
+                columns += [lists(np.concatenate(all_ids).view(np.int32), counts, pa.int32())] if with_ids else []
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(columns)])
 
     return mapped(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

@@ -65,32 +65,51 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     return pc.cast(batch.column(batch.schema.get_field_index(column)), pa.binary()).to_pylist()
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Runs of rows with at most SLICE_BYTES of text (or one row), with their texts as bytes."""
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Runs of rows with at most limit bytes of text (or one row), with their texts as bytes."""
     for batch in batches:
         got, start, size = texts(batch, column), 0, 0
         for i, t in enumerate(got):
             size += len(t or b"")
-            if size > SLICE_BYTES and i > start:
+            if size > limit and i > start:
                 yield batch.slice(start, i - start), got[start:i]
                 start, size = i, len(t or b"")
         if start < len(got):
             yield batch.slice(start), got[start:]
 
 
-class WordHash(dict):
-    """Word to 64-bit hash; emptied when it holds WORD_CACHE words, and by release()."""
+def gathered(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[list[tuple[pa.RecordBatch, list]]]:
+    """Slices put together until they hold limit bytes of text."""
+    some, size = [], 0
+    for batch, got in slices(batches, limit=limit):
+        some.append((batch, got))
+        size += sum(map(len, filter(None, got)))
+        if size >= limit:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+_HELD: list = []
+
 
-    made: list = []
+def holding(cache: dict) -> dict:
+    """Registers a cache of this worker process, which release() empties."""
+    _HELD.append(cache)
+    return cache
 
-    def __init__(self):
-        self.made.append(self)
 
-    @classmethod
-    def release(cls) -> None:
-        for cache in cls.made:
+def release(*but: dict) -> None:
+    """Empties the caches of this worker process, but for some: workers are used again by later stages."""
+    for cache in _HELD:
+        if cache and not any(cache is b for b in but):
             cache.clear()
 
+
+class WordHash(dict):
+    """Word to 64-bit hash; emptied when it holds WORD_CACHE words, and by release()."""
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= WORD_CACHE:
             self.clear()

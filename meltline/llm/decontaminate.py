@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, lists, mapped, slices, stored
+from .common import ALNUM, lists, mapped, release, slices, stored
 
 #: Words of a window, and benchmark words in a block.
 WINDOW, BLOCK = 10, 1_000_000
@@ -99,6 +99,7 @@ class Index:
 
 def _ids(index: Index, texts: list[bytes | None]) -> Iterator[np.ndarray]:
     """Word ids of each text, -1 for a word that no item has."""
+    release()
     number = index.vocabulary.get
     for t in texts:
         ws = words(t)

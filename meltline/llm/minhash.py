@@ -23,13 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, WordHash, components, counted, lists, mapped, mixed, slices, stored
+from .common import LOWER, WordHash, components, counted, holding, lists, mapped, mixed, release, slices, stored
 
 BINS, ROWS = 512, 8
 BANDS = BINS // ROWS
 #: Central members that are tried first, and bucket keys that a task groups at once.
 PROBES, CHUNK = 8, 1 << 20
-_WORDS = WordHash()
+_WORDS = holding(WordHash())
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -46,6 +46,7 @@ def _shingles(words: np.ndarray, size: int) -> np.ndarray:
 
 
 def sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    release(_WORDS)
     parts = [(t or b"").translate(LOWER).split() for t in texts]
     hashed = _WORDS.of([w for p in parts for w in p])
     ends = np.cumsum([0, *map(len, parts)])

@@ -22,19 +22,20 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, mapped, mixed, slices, stored
+from .common import WordHash, holding, mapped, mixed, release, slices, stored
 
 SIZE, GRAM = 50, 10
 #: Rows of the sketch, its least and largest width (as powers of two), and cells of a chunk that is merged by itself.
 DEPTH, LEAST_BITS, MOST_BITS, CHUNK = 2, 16, 26, 1 << 20
 #: Windows of a packed row; a gram is hot with more than HOT rows and a 1/HOT_SHARE of all rows.
 PACK, HOT, HOT_SHARE = 64, 4096, 8192
-_WORDS = WordHash()
+_WORDS = holding(WordHash())
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03))
 
 
 def _hashed(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of some texts, and where each text begins and ends among them."""
+    release(_WORDS)
     parts = [(t or b"").split() for t in texts]
     return _WORDS.of([w for p in parts for w in p]), np.cumsum([0, *map(len, parts)])
 
