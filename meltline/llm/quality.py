@@ -9,14 +9,14 @@ logistic function of a sum of table entries: vectorised additions per bin, no tr
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, slices, stored
+from .common import mapped, release, slices, stored
 
 #: Labelled rows to fit on at most, taken by a hash of doc_id.
 SAMPLE = 20_000
@@ -167,17 +167,20 @@ class Additive:
         return 1 / (1 + np.exp(-f))
 
 
-def featured(docs: DataFrame) -> DataFrame:
-    """doc_id and the features of each row's text."""
+def featured(docs: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """doc_id, other columns asked for, and the features of each row's text."""
+    kept = ["doc_id", *also]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch, got in slices(batches):
             x = np.array([features(t) for t in got], np.float32).reshape(len(got), len(FEATURES))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), *(pa.array(x[:, j]) for j in range(x.shape[1]))], ["doc_id", *FEATURES]
+                [*(batch.column(batch.schema.get_field_index(c)) for c in kept), *(pa.array(x[:, j]) for j in range(x.shape[1]))], [*kept, *FEATURES]
             )
 
-    return mapped(docs.select("doc_id", "text"), run, "doc_id long, " + ", ".join(f"{c} float" for c in FEATURES))
+    schema = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept] + [f"{c} float" for c in FEATURES]
+    return mapped(docs.select(*kept, "text"), run, ", ".join(schema))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -193,20 +196,21 @@ def fitted(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Additive
     return Additive().fit(got[list(FEATURES)].to_numpy(np.float32), got["y"].to_numpy(np.float64))
 
 
-def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of docs.
+def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, also: Sequence[str] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row of docs, and the columns named in also.
 
     score estimates the chance that the text is of quality 1; it depends on the text alone. Empty and null texts have
     all features 0 and get a score like any other. Without labelled rows every score is 0.5; with labels of one kind it
     is their rate. predicted is 1 from a score of 0.5 on. A doc_id labelled twice counts once, with its higher label. Other columns aren't read.
     """
-    rows = stored(featured(docs), "features")
+    rows = stored(featured(docs, also), "features")
+    kept = ["doc_id", *also]
     model = fitted(rows, labels, sample)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.stack([batch.column(j + 1).to_numpy(zero_copy_only=False) for j in range(len(FEATURES))], 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x))], ["doc_id", "score"])
+            x = np.stack([batch.column(len(kept) + j).to_numpy(zero_copy_only=False) for j in range(len(FEATURES))], 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(model.score(x))], [*kept, "score"])
 
-    out = rows.mapInArrow(run, "doc_id long, score double")
-    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    out = rows.mapInArrow(run, ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ", score double")
+    return out.select(*kept, held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
