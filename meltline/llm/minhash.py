@@ -148,14 +148,14 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
 
     Two texts are linked when 100 * |intersection| >= percent * |union| of their sets of size-word shingles. Texts
     that are null, empty or without words have no shingles and are linked with nothing. Rows that repeat a doc_id are
-    one node. An empty table gives an empty result; other columns of docs aren't read.
+    one node. A row without doc_id is linked with nothing: its component_id is null, and it is kept. An empty table gives an empty result; other columns of docs aren't read.
     """
     docs = docs.select("doc_id", "text")
     signed = stored(
         mapped(docs, _signatures(size), "doc_id long, n_shingles long, set_id binary, bands array<long>"), "signatures"
     )
     classes = stored(
-        signed.where("set_id is not null").groupBy("set_id").agg(
+        signed.where("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
         ),
         "classes",
@@ -190,8 +190,8 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
         label = components(links)
     own = classes.join(label, F.col("rep") == F.col("id"), "left").select("set_id", F.coalesce("component", "rep").alias("found"))
     return signed.select("doc_id", "n_shingles", "set_id").join(own, "set_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id")
-    ).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id")
+    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def _sets_of(docs: DataFrame, edges: DataFrame, size: int) -> DataFrame:
