@@ -45,10 +45,10 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def counted(ids: DataFrame, tag: str) -> DataFrame:
-    """A stored table of distinct ids, marked for broadcast where it has at most BROADCAST_IDS rows."""
+def counted(ids: DataFrame, tag: str, most: int = BROADCAST_IDS) -> DataFrame:
+    """A stored table of distinct ids, marked for broadcast where it has at most so many rows."""
     made = stored(ids.distinct(), tag)
-    return F.broadcast(made) if made.count() <= BROADCAST_IDS else made
+    return F.broadcast(made) if made.count() <= most else made
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:

@@ -5,8 +5,9 @@ do, in place; so its rarest shingle alone is a sufficient prefix of its shingles
 shingles' counts over all documents. Each document position that holds a prefix shingle gives candidates; they are cut
 by length and position (the window must lie inside the document) and verified word by word.
 
-The benchmark is joined in blocks of at most BLOCK words, whose index is broadcast: each block meets all documents, and
-what the blocks find is put together by document row.
+The benchmark is joined in blocks of at most BLOCK words. The index of a block, bounded by BLOCK, is broadcast and meets
+all documents; where there are several blocks, what each one finds is written before the next one is built, so that the
+driver holds one at a time, and is put together by numbers that the document rows got once.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from functools import reduce
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,10 +109,10 @@ def _ids(index: Index, texts: list[bytes | None]) -> Iterator[np.ndarray]:
         yield np.fromiter((number(w, -1) for w in ws), np.int64, len(ws))
 
 
-def _counts(index: Index):
-    wanted = index.shingles()
-
+def _counts(shared: Broadcast):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        wanted = index.shingles()
         total = np.zeros(len(wanted) + 1, np.int64)
         for _, got in slices(batches):
             for ids in _ids(index, got):
@@ -124,8 +127,9 @@ def _counts(index: Index):
     return run
 
 
-def _search(index: Index):
+def _search(shared: Broadcast):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
         for batch, got in slices(batches):
             n_words, spans, span_counts, items = [], [], [], []
             for ids in _ids(index, got):
@@ -174,7 +178,7 @@ def _result(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
     """Runs of items with at most BLOCK words, or one item, fetched one block at a time in the order of item_id."""
     block, size = [], 0
-    for r in benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("binary")).orderBy("item_id", "text").toLocalIterator():
+    for r in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("binary")).orderBy("item_id", "text").toLocalIterator():
         ws = words(None if r[1] is None else bytes(r[1]))
         if block and size + len(ws) > BLOCK:
             yield block
@@ -189,28 +193,34 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of docs.
 
     Null and empty texts have no words and no hits, and such items no windows. Items with equal texts are all counted;
-    rows that repeat an item_id are one item. Without items nothing is hit. Documents are judged row by row, repeated
-    ones too; only doc_id and text, item_id and text are read.
+    rows that repeat an item_id are one item; a null item_id is an empty one. Without items nothing is hit. Documents
+    are judged row by row, repeated ones and those without doc_id too; only doc_id and text, item_id and text are read.
     """
+    sc = docs.sparkSession.sparkContext
     rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     schema = "row long, doc_id long, n_words long, spans array<long>, items array<string>"
-    parts = []
-    for items in _blocks(benchmark):
-        index = Index(items, window)
-        count = mapped(docs.select("text"), _counts(index), "shingle long, n long").groupBy("shingle").agg(F.sum("n"))
-        index.order({r[0]: r[1] for r in count.collect()})  # at most as many rows as the block has shingles
-        parts.append(mapped(rows, _search(index), schema))
-    if len(parts) > 1:
-        every = reduce(DataFrame.unionByName, [stored(p, "block") for p in parts])
-        found = every.groupBy("row", "doc_id", "n_words").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))
-    else:
-        one = parts[0] if parts else mapped(rows, _search(_empty(window)), schema)
+    blocks = _blocks(benchmark)
+    items, after = next(blocks, []), next(blocks, None)
+    if after is None:
+        one = mapped(rows, _search(sc.broadcast(_ordered(items, docs, window))), schema)
         found = one.select("doc_id", "n_words", F.array("spans").alias("spans"), F.array("items").alias("items"))
+    else:
+        rows, parts = stored(rows, "rows"), []
+        for items in chain([items, after], blocks):
+            shared = sc.broadcast(_ordered(items, rows, window))
+            parts.append(stored(mapped(rows, _search(shared), schema), "block"))
+            shared.destroy()
+        every = reduce(DataFrame.unionByName, parts)
+        found = every.groupBy("row", "doc_id", "n_words").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))
     out = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
     return mapped(found.select("doc_id", "n_words", "spans", "items"), _result, out)
 
 
-def _empty(window: int) -> Index:
-    index = Index([], window)
-    index.order({})
+def _ordered(items: list[tuple[str, list[bytes]]], docs: DataFrame, window: int) -> Index:
+    """The index of a block, its windows under the shingles that are rarest in docs."""
+    index = Index(items, window)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    count = mapped(docs.select("text"), _counts(shared), "shingle long, n long").groupBy("shingle").agg(F.sum("n"))
+    index.order({r[0]: r[1] for r in count.collect()} if index.items else {})  # at most as many rows as the block has shingles
+    shared.destroy()
     return index
