@@ -5,8 +5,8 @@ the same one, so the number of documents with a window is at most the number wit
 grams of its documents in a count-min sketch; the merged sketch overestimates, so a window whose gram is estimated in
 one document only can't repeat. A second pass emits the other windows, packed by gram, and they
 alone are grouped, exactly, by gram and window hash (128 bits): the rows of a gram come sorted by doc_id and are
-settled as they stream by. Grams with very many rows are grouped window by window instead, with partial sums and a
-join whose hot keys Spark splits. Grams are about a twentieth of the windows, so the sketch stays small; its width
+settled as they stream by. Grams with more than HOT rows are grouped window by window instead: partial minima, then a
+broadcast of them where they are few, else a join over salted keys. Only texts that lose words are shuffled. Grams are about a twentieth of the windows, so the sketch stays small; its width
 follows the bytes of text up to 2**MOST_BITS cells a row, beyond which it lets more windows through but loses none.
 """
 
@@ -22,13 +22,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, holding, mapped, mixed, release, slices, stored
+from .common import WordHash, counted, holding, mapped, mixed, release, slices, stored
 
 SIZE, GRAM = 50, 10
 #: Rows of the sketch, its least and largest width (as powers of two), and cells of a chunk that is merged by itself.
 DEPTH, LEAST_BITS, MOST_BITS, CHUNK = 2, 16, 26, 1 << 20
-#: Windows of a packed row; a gram is hot with more than HOT rows and a 1/HOT_SHARE of all rows.
-PACK, HOT, HOT_SHARE = 64, 4096, 8192
+#: Windows of a packed row, rows from which a gram is hot, parts of a hot key, and rows of a table that is broadcast.
+PACK, HOT, SALTS, FEW = 64, 4096, 32, 1_000_000
 _WORDS = holding(WordHash())
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03))
 
@@ -148,7 +148,7 @@ def _suspects(size: int, sketch: Broadcast):
                 often &= (full[r, cell >> 3] >> (7 - (cell & 7)) & 1).astype(bool)
             at, text, gram = at[often], text[often], gram[often]
             if len(at):
-                ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False).astype(np.int64)
+                ids, keys = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "key"))
                 hashes = _rolled(words, size, _ODD[1])[at]
                 run = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(text) != 0) | (gram[1:] != gram[:-1])])
                 inside = np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))
@@ -157,8 +157,8 @@ def _suspects(size: int, sketch: Broadcast):
                 for k in range(0, len(first), 20_000):
                     cut = first[k : k + 20_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(gram[cut].view(np.int64)), pa.array(ids[text[cut]]), pa.array((at - ends[text])[cut].astype(np.int32)), pa.array(packed[k : k + 20_000], pa.binary())],
-                        ["gram", "doc_id", "at", "windows"],
+                        [pa.array(gram[cut].view(np.int64)), pa.array(ids[text[cut]]), pa.array(keys[text[cut]]), pa.array((at - ends[text])[cut].astype(np.int32)), pa.array(packed[k : k + 20_000], pa.binary())],
+                        ["gram", "doc_id", "key", "at", "windows"],
                     )
 
     return run
@@ -168,8 +168,8 @@ def _settled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of window starts that an earlier document has, from rows sorted by gram and doc_id."""
     gram, first = None, {}
     for batch in batches:
-        docs, spans = [], []
-        for g, doc, at, windows in zip(*(batch.column(k).to_pylist() for k in range(4))):
+        docs, keys, spans = [], [], []
+        for g, doc, key, at, windows in zip(*(batch.column(k).to_pylist() for k in range(5))):
             if g != gram:
                 gram, first = g, {}
             see, out = first.setdefault, []
@@ -181,31 +181,44 @@ def _settled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         out += (k, k + 1)
             if out:
                 docs.append(doc)
+                keys.append(key)
                 spans.append(out)
         if docs:
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], ["doc_id", "spans"])
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(keys, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], ["doc_id", "key", "spans"])
 
 
 def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        windows = [np.frombuffer(w, np.int64) for w in batch.column(3).to_pylist()]
+        windows = [np.frombuffer(w, np.int64) for w in batch.column(4).to_pylist()]
         n = np.array([len(w) for w in windows], np.int64)
         if len(n):
-            places = np.repeat(batch.column(2).to_numpy(), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            gram, doc = (np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(np.concatenate(windows)), pa.array(doc), pa.array(places.astype(np.int32))], ["gram", "window", "doc_id", "at"])
+            places = np.repeat(batch.column(3).to_numpy(), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            gram, doc, key = (np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1, 2))
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(np.concatenate(windows)), pa.array(doc), pa.array(key), pa.array(places.astype(np.int32))], ["gram", "window", "doc_id", "key", "at"])
 
 
 def _repeats(rows: DataFrame, hot_rows: int = HOT) -> DataFrame:
-    """doc_id and spans of window starts that a document with a smaller doc_id has too."""
-    n = rows.groupBy("gram").agg(F.count("*").alias("n"))
-    hot = n.where(F.col("n") > max(hot_rows, rows.count() // HOT_SHARE)).select("gram")  # at most HOT_SHARE grams
-    light = rows.join(F.broadcast(hot), "gram", "left_anti").repartition("gram").sortWithinPartitions("gram", "doc_id")
-    spans = light.mapInArrow(_settled, "doc_id long, spans array<int>")
-    each = rows.join(F.broadcast(hot), "gram", "left_semi").mapInArrow(_unpacked, "gram long, window long, doc_id long, at int")
-    least = each.groupBy("gram", "window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    later = each.join(least.select("gram", "window", "first"), ["gram", "window"]).where("doc_id > first")
-    return spans.unionByName(later.select("doc_id", F.array("at", F.col("at") + 1).alias("spans")))
+    """doc_id, key and spans of window starts that a document with a smaller doc_id has too."""
+    hot = counted(rows.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select("gram"), "hot-grams", FEW)
+    light = rows.join(hot, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram", "doc_id")
+    spans = light.mapInArrow(_settled, "doc_id long, key long, spans array<int>")
+    each = rows.join(hot, "gram", "left_semi").mapInArrow(_unpacked, "gram long, window long, doc_id long, key long, at int")
+    least = stored(each.groupBy("gram", "window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last"), "least")
+    if least.count() <= FEW:
+        later = each.join(F.broadcast(least), ["gram", "window"])
+    else:
+        salts = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        later = each.withColumn("salt", F.pmod(F.xxhash64("doc_id", "at"), F.lit(SALTS)).cast("int")).join(salts, ["gram", "window", "salt"])
+    return spans.unionByName(later.where("doc_id > first").select("doc_id", "key", F.array("at", F.col("at") + 1).alias("spans")))
+
+
+def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """docs with the spans of each; where few rows have any, only their texts are shuffled."""
+    if spans.count() > FEW:
+        return docs.join(spans, ["doc_id", "key"], "left")
+    hit = F.broadcast(spans.select("doc_id", "key"))
+    touched = docs.join(hit, ["doc_id", "key"], "left_semi").join(spans, ["doc_id", "key"])
+    return touched.unionByName(docs.join(hit, ["doc_id", "key"], "left_anti").withColumn("spans", F.lit(None).cast("array<int>")))
 
 
 def _cut(size: int):
@@ -241,11 +254,13 @@ def deduplicated(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
     Each word is removed that is covered by a window of size words whose words also start in a document with a smaller
     doc_id. Windows are judged on the input. Repeats inside one document, or between rows with the same doc_id, remove
-    nothing; texts that are null or shorter than a window stay as they are. An empty table gives an empty result;
-    other columns aren't read.
+    nothing; rows with the same doc_id and different texts are judged apart. A row without doc_id stays as it is and
+    removes nothing; texts that are null or shorter than a window stay as they are. An empty table gives an empty
+    result; other columns aren't read.
     """
-    docs = docs.select("doc_id", "text")
-    sketch = _repeated(docs, size)
-    rows = stored(mapped(docs, _suspects(size, sketch), "gram long, doc_id long, at int, windows binary"), "windows")
-    spans = _repeats(rows).groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    return mapped(docs.join(spans, "doc_id", "left"), _cut(size), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    known = docs.where("doc_id IS NOT NULL")
+    sketch = _repeated(known, size)
+    rows = stored(mapped(known, _suspects(size, sketch), "gram long, doc_id long, key long, at int, windows binary"), "windows")
+    spans = stored(_repeats(rows).groupBy("doc_id", "key").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
+    return mapped(_with_spans(docs, spans), _cut(size), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
