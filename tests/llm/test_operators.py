@@ -363,3 +363,37 @@ def test_quality(spark, empty):
     assert {r.score for r in quality.scored(d, labels.where("false")).collect()} == {0.5}
     assert {r.predicted for r in quality.scored(d, labels.where("quality = 1")).collect()} == {1}
     assert quality.scored(empty, labels).count() == 0
+
+
+SHARED = [(5, "unique text A of some words " * 3), (5, "same text " * 9), (3, "same text " * 9), (None, "same text " * 9), (None, None), (7, ""), (7, "")]
+
+
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_substrings_tell_rows_of_one_doc_id_apart(spark, monkeypatch, few):
+    monkeypatch.setattr(substrings, "FEW", few)
+    monkeypatch.setattr(substrings._repeats, "__defaults__", (1,))
+    rng = random.Random(3)
+    passage = prose(rng, 60)
+    corpus = [(1, passage), (2, f"own words {passage}"), (2, "a short text"), (2, f"other own {passage} end"), (None, passage), (4, None), *[(i, f"w{i} {passage}") for i in range(10, 40)]]
+    got = rows(substrings.deduplicated(spark.createDataFrame(corpus, DOCS)), "doc_id", "n_words", "n_removed")
+    assert {(1, 60, 0), (2, 62, 60), (2, 3, 0), (2, 63, 60), (None, 60, 0), (4, 0, 0)} <= got and all(r[2] == 60 for r in got if r[0] and r[0] >= 10)
+    assert substrings.deduplicated(spark.createDataFrame(corpus, DOCS)).count() == len(corpus)
+
+
+def test_operators_on_shared_and_missing_doc_ids(spark):
+    import public_tokenizers as P
+
+    d = spark.createDataFrame(SHARED, DOCS)
+    near = minhash.near_duplicates(d)
+    assert near.count() == len(SHARED) and all(r.component_id is None and r.kept for r in near.where("doc_id IS NULL").collect())
+    assert {r.component_id for r in near.where("doc_id = 3").collect()} == {3}
+    for got in (exact.exact_duplicates(d), shards.sharded(d, 4), bpe.tokenised(d, P.path("byte_bpe_50k.tiktoken"), P.PATTERN), pii.pseudonymised(d, "k"), licenses.scanned(d)):
+        assert got.count() == len(SHARED)
+
+
+def test_decontamination_takes_items_without_an_id(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    items = spark.createDataFrame([(None, text, 1), ("b", "other words", 2), (None, None, 3)], "item_id string, text string, spans int")
+    d = spark.createDataFrame([(1, f"x {text} y"), (None, text), (3, "none of it")], DOCS)
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontaminate.decontaminated(d, items).collect()}
+    assert got == {1: (11, 1, True), None: (11, 1, True), 3: (0, 0, False)}

@@ -31,3 +31,17 @@ def test_stages_return_the_columns_of_documents(spark):
         assert stage(spark, docs, str(DATA)).columns == docs.columns, name
         assert stage(spark, docs.where("false"), str(DATA)).count() == 0, name
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontamination", "bpe"]
+
+
+def test_stages_judge_rows_and_not_doc_ids(spark):
+    rows = [(3, "same text here"), (5, "unique text A"), (5, "same text here"), (5, "same text  here"), (None, "no id, own text"), (None, "same text here"), (8, "a b c d e f g h"), (8, "a b c d e f g h"), (9, None)]
+    docs = spark.createDataFrame([(i, t, "x", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, row string, row_ long")
+    exact_stage, near_stage = (dict(corpus_pipeline.STAGES)[n] for n in ("exact_dedup", "near_dedup"))
+    left = exact_stage(spark, docs, str(DATA))
+    assert left.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in left.collect()) == sorted([("None", "same text here"), ("5", "unique text A"), ("None", "no id, own text"), ("8", "a b c d e f g h"), ("9", "None")])
+    near = near_stage(spark, docs, str(DATA))
+    assert sorted(str(r.text) for r in near.collect()) == sorted(["same text here", "unique text A", "no id, own text", "a b c d e f g h", "None"])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, str(DATA)).columns == docs.columns, name
+    assert dict(corpus_pipeline.STAGES)["bpe"](spark, docs, str(DATA)).count() == len(rows)
