@@ -26,9 +26,9 @@ from .common import gathered, holding, lists, mapped, release
 
 #: What a worker keeps before it starts anew: stable pairs, transitions, rows of states, pieces, units; no slice of
 #: texts leaves pieces or units of more than UNIT_CHARS behind.
-PAIRS, MOVES, ROWS, PIECES, UNITS, UNIT_CHARS = 1 << 18, 1 << 18, 1 << 14, 1 << 17, 1 << 18, 64
+PAIRS, MOVES, ROWS, PIECES, UNITS, UNIT_CHARS = 1 << 18, 1 << 18, 1 << 13, 1 << 15, 1 << 16, 64
 #: Bytes of text taken at once, pieces encoded at once, the longest piece among these, and bits of the table of pairs.
-SLICE, BLOCK, TOGETHER, KNOWN_BITS = 4 << 20, 1 << 15, 64, 20
+SLICE, BLOCK, TOGETHER, KNOWN_BITS = 1 << 20, 1 << 15, 64, 19
 FREE, ODD, LATE = np.uint64((1 << 64) - 1), np.uint64(0x9E3779B97F4A7C15), (1 << 31) - 1
 #: Bytes of a long piece between two emissions.
 EMIT = 4096
@@ -502,9 +502,9 @@ def tokenised(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path, pattern)
-        names = [str(i) for i in range(coder.batch.start)]
+        names = [str(i) for i in range(encoder(path, pattern).batch.start)]
         for some in gathered(batches, SLICE):
+            coder = encoder(path, pattern)
             encoded = iter(coder.encode([t.decode() if t else "" for _, got in some for t in got]))
             for batch, got in some:
                 counts, digests, decoded, all_ids = [], [], [], [np.zeros(0, "<u4")]

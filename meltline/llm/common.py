@@ -101,7 +101,9 @@ def holding(cache: dict) -> dict:
 
 
 def release(*but: dict) -> None:
-    """Empties the caches of this worker process, but for some: workers are used again by later stages."""
+    """Empties the caches of this worker process, but for some, and gives back Arrow's spare memory: workers are used
+    again by later stages."""
+    pa.default_memory_pool().release_unused()
     for cache in _HELD:
         if cache and not any(cache is b for b in but):
             cache.clear()
