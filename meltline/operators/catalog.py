@@ -78,6 +78,22 @@ def batches(tiles: DataFrame, size: int = 10) -> DataFrame:
     return tiles.withColumn("batch", F.floor((F.row_number().over(Window.orderBy(F.desc_nulls_last(PERCENT), *ID)) - 1) / size))
 
 
+def sorted_log(results: DataFrame, start: str = "start_time", tie: str = "sequence") -> DataFrame:
+    """The log by start, missing first; ties by sequence."""
+    return results.orderBy(start, tie)
+
+
+def over_threshold(tiles: DataFrame, percent: float = 0.001) -> DataFrame:
+    """Tiles with more than a percentage; those without one go."""
+    return tiles.where(F.col(PERCENT) > percent)
+
+
+def counted_results(tiles: DataFrame, results: DataFrame) -> DataFrame:
+    """Every tile with its number of results, 0 where it has none."""
+    n = results.groupBy(*ID).agg(F.count("*").alias("n"))
+    return tiles.select(*ID).join(n, list(ID), "left").na.fill(0, ["n"])
+
+
 def missing_files(tiles: DataFrame, existing: DataFrame) -> DataFrame:
     """Tiles whose file isn't there yet."""
     from ..functions.scalars import tile_name

@@ -22,7 +22,7 @@ def _steps(band: str, keys: Sequence[str], order: Sequence[str], mode: str) -> t
     """The step into each row, and the step from the last row to the end of the search window."""
     start, end = F.col("search_window_start_DOWY"), F.col("search_window_end_DOWY")
     by_time = Window.partitionBy(*keys).orderBy(*order)
-    last = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])) == 1
+    last = F.lead(F.lit(1)).over(by_time).isNull()
     if mode == "literal":
         day = F.when(F.col(band).isNull(), F.col("dowy"))
         before = F.when(F.row_number().over(by_time) == 1, start).otherwise(F.lag(day).over(by_time))

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import crs
+
 EARTH = 6_371_008.8
-#: Vertices of all polygons up to which they are sent to every executor.
-BROADCAST_VERTICES = 1_000_000
+#: Grid cells across the largest polygon of a list.
+SPREAD = 16
 
 
 def _cells(low: str, high: str, size: float):
@@ -45,38 +45,49 @@ def clipped(cells: DataFrame, left: float, bottom: float, right: float, top: flo
     return cells.where(F.col("lon").between(left, right) & F.col("lat").between(bottom, top))
 
 
-def _inside(x: np.ndarray, y: np.ndarray, ring: np.ndarray) -> np.ndarray:
-    """Even-odd rule; points on a left or lower edge are inside, on a right or upper one outside."""
-    out = np.zeros(len(x), bool)
-    for (x1, y1), (x2, y2) in zip(ring, np.roll(ring, -1, 0)):
-        if y1 != y2:
-            crosses = (y1 > y) != (y2 > y)
-            out ^= crosses & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
-    return out
+def _inside(x: Column, y: Column, rings: Column) -> Column:
+    """Even-odd rule over all rings of a feature, so that holes are outside; points on a left or lower edge are inside,
+    on a right or upper one outside."""
 
+    def crossed(ring: Column) -> Column:
+        edges = F.zip_with(ring, F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
 
-def in_polygons(points: DataFrame, polygons: Sequence[tuple[int, Sequence[tuple[float, float]]]], name: str = "polygon_id") -> DataFrame:
-    """Points (lon, lat) with the smallest id of the polygons that hold them; points in none go.
+        def cross(e: Column) -> Column:
+            x1, y1, x2, y2 = e.p[0], e.p[1], e.q[0], e.q[1]
+            return ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * F.try_divide(y - y1, y2 - y1) + x1)
+
+        return F.size(F.filter(edges, cross))
+
+    return F.aggregate(rings, F.lit(0), lambda n, ring: n + crossed(ring)) % 2 == 1
+
+
+def in_layer(points: DataFrame, layer: DataFrame, size: float, name: str = "polygon_id") -> DataFrame:
+    """Points (lon, lat) with the smallest id of the features of a layer (id, rings) that hold them; points in none go.
 
-    Polygons are parameters, (id, ring) each, and are sent to the executors up to BROADCAST_VERTICES vertices.
+    Features are spread over the grid cells of a size that their boxes touch; a point meets those of its cell only, as
+    one array, so points are never repeated.
     """
-    if sum(len(r) for _, r in polygons) > BROADCAST_VERTICES:
-        raise ValueError("too many vertices to send; cut the layer by grid cells first")
-    rings = sorted((i, np.array(r, float)) for i, r in polygons)
-    boxes = points.sparkSession.sparkContext.broadcast([(i, r, r.min(0), r.max(0)) for i, r in rings])
+    flat = F.flatten("rings")
+    side = lambda f, i: f(F.transform(flat, lambda p: p[i]))
+    boxes = layer.select("id", "rings", *[side(f, i).alias(n) for n, f, i in (("left", F.array_min, 0), ("bottom", F.array_min, 1), ("right", F.array_max, 0), ("top", F.array_max, 1))])
+    cells = boxed(boxes, size).groupBy("_gx", "_gy").agg(F.array_sort(F.collect_list(F.struct("id", "rings"))).alias("_near"))
+    at = points.withColumns({"_gx": F.floor(F.col("lon") / size).cast("long"), "_gy": F.floor(F.col("lat") / size).cast("long")})
+    held = F.filter("_near", lambda f: _inside(F.col("lon"), F.col("lat"), f.rings))
+    found = at.join(cells, ["_gx", "_gy"]).withColumn(name, F.get(held, 0)["id"])
+    return found.where(F.col(name).isNotNull()).select(*points.columns, name)
 
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            x, y = f["lon"].to_numpy(float), f["lat"].to_numpy(float)
-            found = np.full(len(f), -1, np.int64)
-            for i, ring, low, high in boxes.value:
-                near = np.flatnonzero((found < 0) & (x >= low[0]) & (x <= high[0]) & (y >= low[1]) & (y <= high[1]))
-                hit = near[_inside(x[near], y[near], ring)]
-                found[hit] = i
-            yield f.assign(**{name: found})[found >= 0]
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
-    return points.mapInPandas(run, f"{fields}, {name} long")
+def in_polygons(points: DataFrame, polygons: Sequence[tuple[int, Sequence[tuple[float, float]]]], name: str = "polygon_id") -> DataFrame:
+    """Points (lon, lat) with the smallest id of the polygons that hold them; points in none go.
+
+    Polygons are parameters, (id, ring) each; rings with the same id are the parts and holes of one feature.
+    """
+    rings: dict[int, list] = {}
+    for i, ring in polygons:
+        rings.setdefault(i, []).append([[float(p[0]), float(p[1])] for p in ring])
+    layer = points.sparkSession.createDataFrame(list(rings.items()), "id long, rings array<array<array<double>>>")
+    spans = [max(p[k] for r in rs for p in r) - min(p[k] for r in rs for p in r) for rs in rings.values() for k in (0, 1)]
+    return in_layer(points, layer, max([*spans, 1e-9]) / SPREAD, name)
 
 
 def enum_codes(values: DataFrame, column: str) -> DataFrame:
@@ -129,6 +140,14 @@ def resampled_bilinear(template: DataFrame, source: DataFrame, value: str = "val
     return template.select("ty", "tx").join(means, ["ty", "tx"], "left")
 
 
+def reprojected(template: DataFrame, source: DataFrame, zone: int, top: float, left: float, resolution: float, south: bool = False, value: str = "value") -> DataFrame:
+    """Template cells (ty, tx, and easting, northing in metres of a UTM zone) with the bilinear value of a grid in
+    degrees, whose first cell has its upper left corner at (left, top)."""
+    lon, lat = crs.geographic(F.col("easting"), F.col("northing"), zone, south)
+    place = template.select("ty", "tx", ((F.lit(top) - lat) / resolution - 0.5).alias("sy"), ((lon - left) / resolution - 0.5).alias("sx"))
+    return resampled_bilinear(place, source, value)
+
+
 def terrain(dem: DataFrame, resolution: float) -> DataFrame:
     """Slope and aspect in degrees by Horn's 3 x 3 weights; null where a neighbour is missing.
 

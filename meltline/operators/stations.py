@@ -123,3 +123,8 @@ def worst(found: DataFrame, column: str, n: int = 30) -> DataFrame:
     """The n stations with the largest median absolute difference over years."""
     got = found.groupBy("station").agg(F.median(F.abs(column)).alias("difference")).na.drop(subset=["difference"])
     return got.orderBy(F.desc("difference"), "station").limit(n)
+
+
+def time_slice(series: DataFrame, start: str, end: str, date: str = "date") -> DataFrame:
+    """Rows between two dates, both included; the range reaches the scan."""
+    return series.where(F.col(date).between(F.lit(start).cast("date"), F.lit(end).cast("date")))

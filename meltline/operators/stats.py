@@ -67,6 +67,21 @@ def counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFr
     return df.groupBy(*keys).agg(*[F.count(c).alias(f"n_{c}") for c in columns])
 
 
+def value_counts(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct values with their number of rows."""
+    return df.groupBy(*columns).agg(F.count("*").alias("n"))
+
+
+def group_medians(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """Median of the values of each group, and their number."""
+    return df.groupBy(*keys).agg(F.median(value).alias("median"), F.count(value).alias("n"))
+
+
+def log_histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
+    """As histogram, over the logarithms of the positive values."""
+    return histogram(df.where(F.col(value) > 0).select(F.log10(value).alias(value)), value, bins)
+
+
 def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
     """Rows in each of so many equal bins between the least and the largest value; the last one is closed."""
     ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))

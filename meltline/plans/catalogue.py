@@ -81,7 +81,7 @@ def batches(spark, sf_dir):
 
 @query("o07_sorted_log", W + " SELECT sequence, start_time FROM results ORDER BY start_time, sequence")
 def sorted_log(spark, sf_dir):
-    return d.results(spark, sf_dir).select("sequence", "start_time").orderBy("start_time", "sequence")
+    return catalog.sorted_log(d.results(spark, sf_dir).select("sequence", "start_time"))
 
 
 @query("a24_batch_info", W + " SELECT count(*) AS total, CAST(ceil(count(*) / 16) AS BIGINT) AS batches FROM tiles")
@@ -123,8 +123,7 @@ def percent_of(spark, sf_dir):
 
 @query("j14_left_join", W + ' SELECT t."row", t.col, count(r.sequence) AS n FROM tiles t LEFT JOIN (SELECT * FROM results WHERE success) r ON t."row" = r."row" AND t.col = r.col GROUP BY 1, 2')
 def left_join(spark, sf_dir):
-    n = d.results(spark, sf_dir).where("success").groupBy("row", "col").agg(F.count("*").alias("n"))
-    return d.tiles(spark, sf_dir).select("row", "col").join(n, ["row", "col"], "left").na.fill(0, ["n"])
+    return catalog.counted_results(d.tiles(spark, sf_dir), d.results(spark, sf_dir).where("success"))
 
 
 @query("u02_consolidated", W + ' SELECT * FROM results WHERE sequence % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY "row", col, success ORDER BY start_time DESC NULLS FIRST, sequence DESC) = 1')
@@ -141,7 +140,7 @@ def not_completed(spark, sf_dir):
 
 @query("f08_percent_threshold", W + ' SELECT * FROM tiles WHERE percent_valid_snow_pixels > 5000')
 def percent_threshold(spark, sf_dir):
-    return d.tiles(spark, sf_dir).where("percent_valid_snow_pixels > 5000")
+    return catalog.over_threshold(d.tiles(spark, sf_dir), 5000)
 
 
 @query("e28_unix_seconds", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(epoch_us(o_orderdate) AS DOUBLE) / 1e6 END AS start FROM orders")
@@ -159,7 +158,7 @@ def histogram(spark, sf_dir):
 
 @query("a34_value_counts", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
 def value_counts(spark, sf_dir):
-    return d.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+    return stats.value_counts(d.table(spark, sf_dir, "orders"), "o_orderpriority")
 
 
 @query("t02_latest_results", "SELECT user_id, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")

@@ -63,7 +63,7 @@ def first_peak(spark, sf_dir):
 
 @query("f11_time_slice", W + " SELECT station, date, round(swe, 6) AS swe FROM swe WHERE date BETWEEN DATE '1997-10-01' AND DATE '1998-09-30'")
 def time_slice(spark, sf_dir):
-    return rounded(d.swe(spark, sf_dir).where("date BETWEEN DATE '1997-10-01' AND DATE '1998-09-30'").select("station", "date", "swe"))
+    return rounded(stations.time_slice(d.swe(spark, sf_dir), "1997-10-01", "1998-09-30").select("station", "date", "swe"))
 
 
 PIXELS = """pix AS (SELECT CAST(l_suppkey % 5 AS INT) AS station, CAST(l_partkey % 1000 AS DOUBLE) AS dist_m, CAST(year(l_shipdate) AS INT) AS water_year, CASE WHEN l_quantity > 3 THEN CAST(dayofyear(l_shipdate) AS INT) ELSE -9999 END AS runoff_onset,
@@ -117,7 +117,8 @@ def counts(spark, sf_dir):
 
 @query("a31_scene_medians", "SELECT l_shipdate AS time, median(l_extendedprice) AS vv FROM lineitem GROUP BY 1")
 def scene_medians(spark, sf_dir):
-    return d.table(spark, sf_dir, "lineitem").groupBy(F.col("l_shipdate").alias("time")).agg(F.median("l_extendedprice").alias("vv"))
+    rows = d.table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("time"), F.col("l_extendedprice").alias("vv"))
+    return stats.group_medians(rows, "vv", ("time",)).select("time", F.col("median").alias("vv"))
 
 
 @query("clean_series")

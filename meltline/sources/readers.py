@@ -122,13 +122,24 @@ def scene_items(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def polygon_layer(spark: SparkSession, path: str, key: str, within: tuple[float, float, float, float] | None = None) -> list[tuple[int, list[tuple[float, float]]]]:
-    """Outer rings of a GeoJSON polygon layer by an integer property, of those that meet a box; a layer is a parameter."""
-    schema = f"features array<struct<properties: struct<`{key}`: bigint>, geometry: struct<coordinates: array<array<array<double>>>>>>"
-    rows = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-    rings = rows.select(F.col(f"f.properties.`{key}`").alias("id"), F.get("f.geometry.coordinates", 0).alias("ring")).where("ring IS NOT NULL")
+def feature_layer(spark: SparkSession, path: str, key: str, within: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """id and rings (of all parts, holes too) of the polygons and multipolygons of GeoJSON files, by an integer property;
+    those whose box meets a box. Features without a geometry go; other geometries are an error."""
+    schema = f"features array<struct<properties: struct<`{key}`: bigint>, geometry: struct<type: string, coordinates: string>>>"
+    rows = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path).select(F.explode("features").alias("f"))
+    kind, places = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    one, many = F.from_json(places, "array<array<array<double>>>"), F.flatten(F.from_json(places, "array<array<array<array<double>>>>"))
+    wrong = F.raise_error(F.concat(F.lit("no polygon: "), kind)).cast("array<array<array<double>>>")
+    rings = F.when(kind == "Polygon", one).when(kind == "MultiPolygon", many).when(kind.isNotNull(), wrong)
+    out = rows.select(F.col(f"f.properties.`{key}`").alias("id"), rings.alias("rings")).where("rings IS NOT NULL")
     if within:
         left, bottom, right, top = within
-        low, high = (lambda i: F.array_min(F.transform("ring", lambda p: p[i]))), (lambda i: F.array_max(F.transform("ring", lambda p: p[i])))
-        rings = rings.where((low(0) <= right) & (high(0) >= left) & (low(1) <= top) & (high(1) >= bottom))
-    return [(r.id, [tuple(p) for p in r.ring]) for r in rings.orderBy("id").collect()]
+        axis = lambda f, i: f(F.transform(F.flatten("rings"), lambda p: p[i]))
+        out = out.where((axis(F.array_min, 0) <= right) & (axis(F.array_max, 0) >= left) & (axis(F.array_min, 1) <= top) & (axis(F.array_max, 1) >= bottom))
+    return out
+
+
+def polygon_layer(spark: SparkSession, path: str, key: str, within: tuple[float, float, float, float] | None = None) -> list[tuple[int, list[tuple[float, float]]]]:
+    """The rings of a small layer as a parameter, (id, ring) each; a feature's parts and holes share its id."""
+    rows = feature_layer(spark, path, key, within).orderBy("id").collect()
+    return [(r.id, [tuple(p) for p in ring]) for r in rows for ring in r.rings]

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from meltline.sources import readers
 from meltline.operators import mart, qa, spatial, stations
 
 
@@ -102,3 +103,40 @@ def test_empty_bins_are_there(spark):
     assert dense.count() == 4 * 3 * 3 and dense.where("value IS NULL").count() == (12 - 2) * 3
     one = mart.bin_correlations(bins, "runoff_onset_median", ["chili"]).collect()
     assert {r.corr_chili for r in one} == {None}
+
+
+def test_parts_and_holes(spark):
+    box = lambda a, b: [(a, a), (b, a), (b, b), (a, b)]
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 5.0, 5.0), (3, 5.0, 5.0), (4, 11.0, 11.0), (5, 21.0, 21.0), (6, None, 1.0)], "id int, lon double, lat double")
+    got = spatial.in_polygons(points, [(2, box(0, 10)), (2, box(4, 6)), (2, box(20, 22)), (9, box(-50, 50))])
+    assert {r.id: r.polygon_id for r in got.collect()} == {1: 2, 2: 9, 3: 9, 4: 9, 5: 2}
+
+
+def test_layers_refuse_other_geometries(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "a.json").write_text('{"features": [{"properties": {"k": 1}, "geometry": {"type": "Point", "coordinates": [1, 2]}}]}')
+    with pytest.raises(Exception, match="no polygon: Point"):
+        readers.polygon_layer(spark, str(tmp_path), "k")
+
+
+def test_utm_places(spark):
+    from meltline.functions import crs
+
+    # The equator on a central meridian, and a point whose place is known to a decimetre.
+    d = spark.createDataFrame([(9.0, 0.0), (11.0, 47.5)], "lon double, lat double")
+    e, n = crs.projected(F.col("lon"), F.col("lat"), 32)
+    got = [tuple(r) for r in d.select(F.round(e, 3), F.round(n, 3)).collect()]
+    assert got[0] == (500000.0, 0.0)
+    # By the meridian: one degree of latitude is about 111 km there, the scale 0.9996 at the centre.
+    assert abs(got[1][0] - 650_600) < 200 and abs(got[1][1] - 5_262_700) < 300
+
+
+def test_reprojected_plane(spark):
+    from meltline.functions import crs
+
+    grid = spark.createDataFrame([(y, x, float(x)) for y in range(20) for x in range(20)], "y int, x int, value double")
+    at = spark.createDataFrame([(0, i, 9.0 + 0.01 * (i + 3.25)) for i in range(5)], "ty int, tx int, lon double").withColumn("lat", F.lit(46.9))
+    e, n = crs.projected(F.col("lon"), F.col("lat"), 32)
+    got = spatial.reprojected(at.select("ty", "tx", e.alias("easting"), n.alias("northing")), grid, 32, 47.0, 9.0, 0.01)
+    assert all(abs(r.value - (r.tx + 2.75)) < 1e-6 for r in got.collect())
