@@ -12,7 +12,7 @@ driver holds one at a time, and is put together by numbers that the document row
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from hashlib import sha256
 from itertools import chain
@@ -175,6 +175,19 @@ def _result(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _finished(search: Callable) -> Callable:
+    """The totals right after the search of the only block, in the same Python worker."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def single(b: pa.RecordBatch) -> pa.RecordBatch:
+            each = pa.array(np.arange(b.num_rows + 1, dtype=np.int32))
+            return pa.RecordBatch.from_arrays([b.column(1), b.column(2), *(pa.ListArray.from_arrays(each, b.column(k)) for k in (3, 4))], ["doc_id", "n_words", "spans", "items"])
+
+        return _result(map(single, search(batches)))
+
+    return run
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
     """Runs of items with at most BLOCK words, or one item, fetched one block at a time in the order of item_id."""
     block, size = [], 0
@@ -199,20 +212,18 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     sc = docs.sparkSession.sparkContext
     rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     schema = "row long, doc_id long, n_words long, spans array<long>, items array<string>"
+    out = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
     blocks = _blocks(benchmark)
     items, after = next(blocks, []), next(blocks, None)
     if after is None:
-        one = mapped(rows, _search(sc.broadcast(_ordered(items, docs, window))), schema)
-        found = one.select("doc_id", "n_words", F.array("spans").alias("spans"), F.array("items").alias("items"))
-    else:
-        rows, parts = stored(rows, "rows"), []
-        for items in chain([items, after], blocks):
-            shared = sc.broadcast(_ordered(items, rows, window))
-            parts.append(stored(mapped(rows, _search(shared), schema), "block"))
-            shared.destroy()
-        every = reduce(DataFrame.unionByName, parts)
-        found = every.groupBy("row", "doc_id", "n_words").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))
-    out = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+        return mapped(rows, _finished(_search(sc.broadcast(_ordered(items, docs, window)))), out)
+    rows, parts = stored(rows, "rows"), []
+    for items in chain([items, after], blocks):
+        shared = sc.broadcast(_ordered(items, rows, window))
+        parts.append(stored(mapped(rows, _search(shared), schema), "block"))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, parts)
+    found = every.groupBy("row", "doc_id", "n_words").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))
     return mapped(found.select("doc_id", "n_words", "spans", "items"), _result, out)
 
 
