@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import crs, dates
-from ..operators import qa, spatial, stats
-from ..sources import readers, sinks
+from ..operators import batches, qa, spatial, stats
+from ..sources import ingest, rasters, readers, sinks
 from ..sources.shared import scratch
 from ..streaming import catalog as streaming
 from . import domain as d
+from .gridded import GRID
 from .registry import query, rounded
 
 RESULTS = """r AS (SELECT CAST(o_custkey % 50 AS INT) AS "row", CAST(o_custkey % 40 AS INT) AS col, o_totalprice AS total_time, o_orderkey, o_orderdate,
@@ -179,3 +180,137 @@ def utm_round_trip(spark, sf_dir):
   SELECT CAST(least(floor((x - lo) / ((hi - lo) / 20)), 19) AS INT) AS bin, count(*) AS n FROM v, e GROUP BY 1""")
 def log_histogram(spark, sf_dir):
     return stats.log_histogram(d.table(spark, sf_dir, "orders"), "o_totalprice", 20)
+
+
+@query("k01_created_store", "WITH " + STORE + ", s AS (SELECT * FROM c WHERE tile_row <> 2) SELECT tile_row, tile_col, y, round(v, 6) AS v FROM s")
+def created_store(spark, sf_dir):
+    """K-01, K-02, S-04: an empty store is made, the tiles of all rows but one are written (a missing tile is missing cells), and it is read."""
+    path, k = scratch(spark, "created"), F.col("p_partkey")
+    sinks.create_store(spark, path, "tile_row int, tile_col int, y long, v smallint", {"v": {"scale": 0.1, "fill": -9999, "description": "size"}})
+    empty = readers.store(spark, path)
+    cells = d.table(spark, sf_dir, "part").select((k % 7).cast("int").alias("tile_row"), (k % 5).cast("int").alias("tile_col"), k.alias("y"), (F.col("p_size") / 10.0).alias("v"))
+    sinks.write_region(cells.where("tile_row <> 2"), path)
+    return rounded(empty.unionByName(readers.store(spark, path)))
+
+
+@query("s14_k07_cube", "SELECT l_suppkey AS station, l_shipdate AS time, count(*) AS n FROM lineitem GROUP BY 1, 2")
+def cube(spark, sf_dir):
+    """S-14, K-07: the cube of stations and days is written without geometries and read back."""
+    path = scratch(spark, "cube")
+    rows = d.table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("station"), F.col("l_shipdate").alias("time")).agg(F.count("*").alias("n"))
+    sinks.write_cube(rows.withColumn("geometry", F.lit("POINT (0 0)")), path)
+    return readers.product(spark, path)
+
+
+RASTER = """g AS (SELECT CAST(p_partkey // 50 AS INT) AS y, CAST(p_partkey % 50 AS INT) AS x, CASE WHEN p_size <> 7 THEN CAST(p_size AS DOUBLE) / 2 END AS value FROM part)"""
+
+
+def _raster_files(spark, sf_dir):
+    """The parts as GeoTIFF files of 64 rows, in tiles of 16 cells; sizes of 7 are missing, and so are cells without a part."""
+    import numpy as np
+    import pandas as pd
+
+    k = F.col("p_partkey")
+    cells = d.table(spark, sf_dir, "part").select(F.floor(k / 3200).cast("long").alias("part"), F.floor(k / 50).cast("long").alias("y"), (k % 50).alias("x"), F.col("p_size").cast("int").alias("v"))
+
+    def file(rows):
+        first = int(rows["part"].iloc[0]) * 64
+        grid = np.full((64, 50), 7, np.int16)
+        grid[rows["y"] - first, rows["x"]] = rows["v"]
+        return pd.DataFrame({"path": [f"{first:08d}.tif"], "content": [rasters.encoded(grid, 0.0, -float(first), 1.0, nodata=7, block=16, predictor=2)]})
+
+    return cells.groupBy("part").applyInPandas(file, "path string, content binary")
+
+
+@query("s10_geotiff_scan", "WITH " + RASTER + " SELECT y, x, value, x + 0.5::DOUBLE AS lon, -(y + 0.5::DOUBLE) AS lat FROM g WHERE value IS NOT NULL")
+def geotiff_scan(spark, sf_dir):
+    """S-10: files of 64 rows of the grid are scanned, scaled, and put on one grid by their places on the ground."""
+    got = rasters.decoded(_raster_files(spark, sf_dir), scale=0.5).where("value IS NOT NULL")
+    return spatial.nearest_cell(got, 0.0, 0.0, 1.0).select("y", "x", "value", "lon", "lat")
+
+
+@query("s11_elevation", "WITH " + RASTER + """, m AS (SELECT CAST(max(y) AS INT) AS m FROM g), t AS (SELECT CAST(ty AS INT) AS ty, CAST(tx AS INT) AS tx, ty * 2 + 0.5::DOUBLE AS sy, tx * 2 + 0.25::DOUBLE AS sx FROM (SELECT unnest(range(0, (SELECT m FROM m) // 2 + 1)) AS ty) a CROSS JOIN range(0, 25) AS b(tx)),
+  w AS (SELECT ty, tx, value, (1 - abs(g.y - sy)) * (1 - abs(g.x - sx)) AS w FROM t JOIN g ON g.y IN (ty * 2, ty * 2 + 1) AND g.x IN (tx * 2, tx * 2 + 1) WHERE value IS NOT NULL)
+  SELECT t.ty, t.tx, round(v, 6) AS value FROM t LEFT JOIN (SELECT ty, tx, sum(w * value) / sum(w) AS v FROM w GROUP BY 1, 2) q ON q.ty = t.ty AND q.tx = t.tx""")
+def elevation(spark, sf_dir):
+    """S-11, J-05: a scan by the cells of a template of half its resolution, bilinear."""
+    files = _raster_files(spark, sf_dir)
+    k = F.col("p_partkey")
+    rows = d.table(spark, sf_dir, "part").select(F.floor(k / 100).alias("ty"))
+    last = rows.agg(F.max("ty")).first()[0] or 0
+    at = F.col("id")
+    template = spark.range((last + 1) * 25).select(F.floor(at / 25).cast("int").alias("ty"), (at % 25).cast("int").alias("tx"))
+    template = template.withColumns({"lat": -(F.col("ty") * 2 + 1.0), "lon": F.col("tx") * 2 + 0.75})
+    return rounded(rasters.elevation(rasters.decoded(files, scale=0.5), template, 0.0, 0.0, 1.0))
+
+
+@query("s12_land_cover", "WITH " + RASTER + " SELECT CAST(y3 AS INT) AS y, CAST(x3 AS INT) AS x, value FROM (SELECT y // 3 AS y3, x // 3 AS x3, value, row_number() OVER (PARTITION BY y // 3, x // 3 ORDER BY count(*) DESC, value) AS k FROM g WHERE value IS NOT NULL GROUP BY 1, 2, 3) WHERE k = 1")
+def land_cover(spark, sf_dir):
+    """S-12: the most frequent class of nine scanned cells."""
+    return rasters.land_cover(rasters.decoded(_raster_files(spark, sf_dir), scale=0.5), 0.0, 0.0, 1.0, 3).select("y", "x", "value")
+
+
+@query("x09_attempted", """SELECT o_orderkey AS tile, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice * 2 END AS twice, o_orderkey % 7 <> 0 AS success,
+  CAST(CASE WHEN o_orderkey % 7 = 0 THEN 3 WHEN o_orderkey % 5 = 0 THEN 2 ELSE 1 END AS INT) AS attempts FROM orders""")
+def attempted(spark, sf_dir):
+    """X-09: work that fails always for some tiles, once for others, with two retries."""
+    seen = set()
+
+    def work(tile):
+        key = tile["tile"]
+        if key % 7 == 0 or key % 5 == 0 and key not in seen:
+            seen.add(key)
+            raise ValueError(f"tile {key}")
+        return {"twice": tile["price"] * 2}
+
+    tiles = d.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("tile"), F.col("o_totalprice").alias("price"))
+    return batches.attempted(tiles, work, "twice double", retries=2, keys=("tile",)).select("tile", "twice", "success", "attempts")
+
+
+@query("t03_batch_with_timeout", "SELECT o_orderkey AS tile, o_orderkey % 4 <> 0 AS success FROM orders")
+def batch_with_timeout(spark, sf_dir):
+    """T-03: tiles of a batch, one piece of which fails; each tile ends as done or as failed."""
+    path, out = scratch(spark, "batch"), scratch(spark, "done")
+    tiles = d.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("tile"), (F.col("o_orderkey") % 4).alias("lane"))
+
+    def done(part, k):
+        part.withColumn("success", F.when(F.col("lane") == 0, F.raise_error(F.lit("lane 0")).cast("boolean")).otherwise(True)).write.mode("overwrite").parquet(f"{out}/piece={k}")
+
+    failed = batches.within(tiles, 1600, done, path, ("lane",), by=F.col("lane").cast("int"), pieces=4)
+    return failed.select("tile", "success").unionByName(spark.read.schema("tile long, lane long, success boolean").parquet(out).select("tile", "success"))
+
+
+@query("s16_paged_ingest", """SELECT run, 'tile-result-' || (run % 3) AS artifact_name, CAST(run % 50 AS INT) AS "row" FROM (SELECT unnest(range(1, 251)) AS run) WHERE run % 10 >= 2""")
+def paged_ingest(spark, sf_dir):
+    """S-16: pages of runs, a page of artifacts each, archives unpacked by tasks; the service is a function here."""
+    import io
+    import zipfile
+
+    def runs(page):
+        return [{"id": r, "created_at": f"2024-01-{r % 10 + 1:02d}T00:00:00Z"} for r in range(page * 100 - 99, min(page * 100, 250) + 1)]
+
+    def artifacts(run, page):
+        return [{"name": n, "archive_download_url": f"{run}"} for n in (f"tile-result-{run % 3}", "logs")] if page == 1 else []
+
+    def download(url):
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w") as z:
+            z.writestr("result.csv", f"row\n{int(url) % 50}\n")
+            z.writestr("notes.txt", "none")
+        return held.getvalue()
+
+    got = ingest.landed(spark, runs, artifacts, download, "2024-01-03")
+    return got.select(F.col("run_id").alias("run"), "artifact_name", F.split("csv_text", "\n")[1].cast("int").alias("row"))
+
+
+@query("e29_aspect", "WITH " + GRID + """, n AS (SELECT a.y, a.x, count(*) AS n, sum(b.dem * (b.x - a.x) * (2 - abs(b.y - a.y))) / 800 AS gx, sum(b.dem * (a.y - b.y) * (2 - abs(b.x - a.x))) / 800 AS gy
+    FROM g a JOIN g b ON abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY 1, 2),
+  d AS (SELECT y, x, CASE WHEN n = 9 AND sqrt(gx * gx + gy * gy) > 1e-9 THEN degrees(atan2(-gx, -gy)) END AS a FROM n)
+  SELECT y, x, round(sin(radians(a)), 4) AS east, round(cos(radians(a)), 4) AS north FROM d""")
+def aspect(spark, sf_dir):
+    """E-29: the direction downhill as its east and north parts, which have no seam at north."""
+    from .gridded import _grid
+
+    got = spatial.terrain(_grid(spark, sf_dir), 100.0)
+    a = F.radians(F.col("aspect"))
+    return got.select("y", "x", (F.round(F.sin(a), 4) + F.lit(0.0)).alias("east"), (F.round(F.cos(a), 4) + F.lit(0.0)).alias("north"))

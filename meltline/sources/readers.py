@@ -60,6 +60,16 @@ def product(spark: SparkSession, path: str, scales: dict[str, float] | None = No
     return rows.withColumns({c: decode(c, s, 0.0, fill) for c, s in scales.items()}) if scales else rows
 
 
+def store(spark: SparkSession, path: str, decoded: bool = True) -> DataFrame:
+    """The cells of a store that sinks.create_store made, as its schema says; without decoding as they are stored."""
+    from .sinks import store_schema
+
+    schema = store_schema(spark, path)
+    rows = spark.read.schema(schema).parquet(f"{path}/cells")
+    one = lambda f: decode(f.name, f.metadata["scale"], f.metadata.get("offset", 0.0), f.metadata.get("fill", -9999)) if decoded and "scale" in f.metadata else F.col(f"`{f.name}`")
+    return rows.select(*[one(f).alias(f.name) for f in schema.fields])
+
+
 def catalogue_geojson(spark: SparkSession, path: str) -> DataFrame:
     """Tiles of a GeoJSON feature collection with the bounds of their rings, largest percentage first."""
     schema = (

@@ -71,3 +71,30 @@ def job_matrix(tiles: DataFrame, form: str = "json") -> DataFrame:
     if form == "json":
         return tiles.agg(F.to_json(F.array_sort(F.collect_list(F.struct("row", "col")))).alias("value"))
     raise ValueError(f"unknown form {form!r}")
+
+
+def create_store(spark, path: str, schema: str, variables: dict[str, dict], keys: Sequence[str] = TILE) -> None:
+    """An empty store: no cells yet, which stands for the fill value everywhere, and what is known of each variable
+    (scale, offset, fill, units, description) as metadata of its column. Replaces what is there."""
+    made = spark.createDataFrame([], schema)
+    described = made.select(*[F.col(f"`{c}`").alias(c, metadata=variables.get(c, {})) for c in made.columns])
+    described.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/schema")
+    described.where("false").write.mode("overwrite").option("compression", "zstd").partitionBy(*keys).parquet(f"{path}/cells")
+
+
+def store_schema(spark, path: str):
+    """The schema of a store, with the metadata of its columns."""
+    return spark.read.parquet(f"{path}/schema").schema
+
+
+def write_region(df: DataFrame, path: str, keys: Sequence[str] = TILE) -> None:
+    """Overwrites the tiles that df holds in a store, as its schema encodes them."""
+    schema = store_schema(df.sparkSession, path)
+    one = lambda f: encode(f.name, f.metadata["scale"], f.metadata.get("offset", 0.0), f.metadata.get("fill", -9999)) if "scale" in f.metadata else F.col(f"`{f.name}`")
+    write_tiles(df.select(*[one(f).cast(f.dataType).alias(f.name) for f in schema.fields]), f"{path}/cells", keys)
+
+
+def write_cube(df: DataFrame, path: str, keys: Sequence[str] = ("station",)) -> None:
+    """A cube of stations and times as a sorted table, without geometries, which belong to the stations' own table."""
+    kept = df.drop("geometry")
+    kept.repartition(*keys).sortWithinPartitions(*keys, *[c for c in ("time", "water_year") if c in kept.columns]).write.mode("overwrite").option("compression", "zstd").parquet(path)
