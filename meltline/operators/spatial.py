@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import crs
@@ -149,24 +149,27 @@ def reprojected(template: DataFrame, source: DataFrame, zone: int, top: float, l
 
 
 def terrain(dem: DataFrame, resolution: float) -> DataFrame:
-    """Slope and aspect in degrees by Horn's 3 x 3 weights; null where a neighbour is missing.
+    """Slope and aspect in degrees by Horn's 3 x 3 weights; null where the cell or a neighbour is missing, aspect on flat ground too.
 
-    Every cell is sent to its nine neighbours and they are summed there: one shuffle, no halo.
+    The weights are products of one along a row and one along a column, so a window over each row of the grid and one
+    over each column do: two shuffles of every cell once, none of its neighbours' copies.
     """
-    weight = lambda: F.array(*[
-        F.struct(F.lit(-dy).alias("dy"), F.lit(-dx).alias("dx"), F.lit(float(dx * (2 - abs(dy)))).alias("wx"), F.lit(float(-dy * (2 - abs(dx)))).alias("wy"))
-        for dy in (-1, 0, 1) for dx in (-1, 0, 1)
-    ])
-    spread = dem.where(F.col("dem").isNotNull()).withColumn("k", F.explode(weight()))
-    got = spread.groupBy((F.col("y") + F.col("k.dy")).alias("y"), (F.col("x") + F.col("k.dx")).alias("x")).agg(
-        F.count("*").alias("n"), F.sum(F.col("dem") * F.col("k.wx")).alias("gx"), F.sum(F.col("dem") * F.col("k.wy")).alias("gy")
-    )
-    full = F.col("n") == 9
-    gx, gy = F.col("gx") / (8 * resolution), F.col("gy") / (8 * resolution)
+    row, column = Window.partitionBy("y").orderBy("x"), Window.partitionBy("x").orderBy("y")
+
+    def beside(value: str, at: str, w, step: int) -> Column:
+        """The value one cell on along a window, null where that cell isn't there."""
+        return F.when(F.lag(at, step).over(w) == F.col(at) - step, F.lag(value, step).over(w))
+
+    west, east = beside("dem", "x", row, 1), beside("dem", "x", row, -1)
+    rows = dem.withColumns({"_across": (east - west).cast("double"), "_along": (west + 2 * F.col("dem") + east).cast("double")})
+    north, south = (lambda c: beside(c, "y", column, 1)), (lambda c: beside(c, "y", column, -1))
+    sums = rows.withColumns({"_gx": north("_across") + 2 * F.col("_across") + south("_across"), "_gy": north("_along") - south("_along")})
+    gx, gy = F.col("_gx") / (8 * resolution), F.col("_gy") / (8 * resolution)
+    full = F.col("dem").isNotNull() & F.col("_gx").isNotNull() & F.col("_gy").isNotNull()
     slope = F.degrees(F.atan(F.sqrt(gx * gx + gy * gy)))
     aspect = F.pmod(F.degrees(F.atan2(-gx, -gy)) + 360, F.lit(360.0))
-    out = got.select("y", "x", F.when(full, slope).alias("slope"), F.when(full & ((gx != 0) | (gy != 0)), aspect).alias("aspect"))
-    return dem.join(out, ["y", "x"], "left")
+    kept = ["y", "x", *[c for c in dem.columns if c not in ("y", "x")]]
+    return sums.select(*kept, F.when(full, slope).alias("slope"), F.when(full & ((gx != 0) | (gy != 0)), aspect).alias("aspect"))
 
 
 def zonal_mean(cells: DataFrame, polygons: Sequence, value: str) -> DataFrame:

@@ -35,6 +35,15 @@ def test_terrain_of_a_plane(spark):
     assert got[1, 1][0] == pytest.approx(45) and got[1, 1][1] == pytest.approx(270) and got[0, 0] == (None, None)
 
 
+def test_terrain_beside_missing_cells(spark):
+    """Cells without a value, or left out, take slope and aspect from themselves and all around; flat ground has no aspect."""
+    rows = [(y, x, None if (y, x) == (2, 2) else 1.0 * (x > 7)) for y in range(5) for x in range(12) if (y, x) != (2, 6)]
+    got = {(r.y, r.x): (r.slope, r.aspect) for r in spatial.terrain(spark.createDataFrame(rows, "y int, x int, dem double"), 1.0).collect()}
+    there = {k for k, v in got.items() if v[0] is not None}
+    assert there == {(y, x) for y in (1, 2, 3) for x in (4, 8, 9, 10)}
+    assert got[1, 4] == (0.0, None) and got[2, 8][1] == pytest.approx(270)
+
+
 def test_radius_edge(spark):
     c = spark.createDataFrame([("a", 0.0, 0.0)], "station string, cx double, cy double")
     p = spark.createDataFrame([(1, 100.0, 0.0), (2, 101.0, 0.0), (3, -60.0, 80.0)], "id int, px double, py double")
