@@ -39,3 +39,11 @@ def test_masked_rows_of_all_years_stay(spark):
 def test_catalogue_holds_every_tile_and_result(spark, name):
     cut, instead = '(SELECT * FROM tiles WHERE "row" <> 3) t FULL JOIN (SELECT * FROM last WHERE col <> 5) l', "tiles t FULL JOIN last l"
     assert same(spark, name, cut, instead) > 0
+
+
+def test_results_without_a_sequence_are_consolidated(spark, tmp_path):
+    c = duckdb.connect()
+    c.execute(f"copy (select * from '{DATA}/customer.parquet') to '{tmp_path}/customer.parquet' (format parquet)")
+    first = "row_number() OVER (PARTITION BY o_custkey % 50, o_custkey % 40, o_orderstatus ORDER BY o_orderkey) = 1"
+    c.execute(f"copy (select * replace (CASE WHEN {first} THEN NULL ELSE o_orderkey END AS o_orderkey) from '{DATA}/orders.parquet') to '{tmp_path}/orders.parquet' (format parquet)")
+    assert same(spark, "u02_consolidated", "WHERE sequence % 3 <> 0", "", str(tmp_path)) > 0
