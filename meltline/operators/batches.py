@@ -8,13 +8,31 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor, TimeoutError, wait
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Tiles whose outcomes leave a task together.
+TOGETHER = 1000
 OUTCOME = "start_time double, total_time double, attempts int, success boolean, error_messages string"
 
 
+def told(e: Exception, places: dict) -> str:
+    """The text of traceback.format_exc(limit=-1), stripped; the place an exception comes from is put in words once."""
+    if e.__cause__ or e.__context__ or isinstance(e, (SyntaxError, NameError, AttributeError, ImportError, BaseExceptionGroup)):
+        return traceback.format_exc(limit=-1).strip()
+    last = e.__traceback__
+    while last.tb_next:
+        last = last.tb_next
+    at = last.tb_frame.f_code, last.tb_lasti
+    if at not in places:
+        if len(places) == TOGETHER:
+            places.clear()
+        places[at] = "Traceback (most recent call last):\n" + "".join(traceback.format_tb(last))
+    return (places[at] + "".join(traceback.format_exception_only(e))).strip()
+
+
 def attempted(tiles: DataFrame, work: Callable[[dict], dict], fields: str, retries: int = 0, keys: Sequence[str] = ("row", "col")) -> DataFrame:
     """Every tile with the fields that work gives for it, start and duration in seconds, attempts, success and errors.
 
@@ -22,24 +40,38 @@ def attempted(tiles: DataFrame, work: Callable[[dict], dict], fields: str, retri
     text of each. A task that is lost with its executor is run again by Spark, whatever the retries.
     """
 
+    def frame(rows: list[dict]) -> pd.DataFrame:
+        """Whole numbers beside missing ones stay whole."""
+        held = {n: pd.Series([r[n] for r in rows], dtype=object) for n in names}
+        plain = {n: s.infer_objects() for n, s in held.items()}
+        return pd.DataFrame({n: held[n] if s.dtype.kind == "f" and any(isinstance(v, (int, np.integer)) for v in held[n]) else s for n, s in plain.items()})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        places = {}
         for batch in batches:
+            rows = []
             for tile in batch.to_dict("records"):
                 start, errors, got = time.time(), [], {}
                 while len(errors) <= retries:
                     try:
                         got = work(dict(tile))
                         break
-                    except Exception:  # noqa: BLE001
-                        errors.append(traceback.format_exc(limit=-1).strip())
+                    except Exception as e:  # noqa: BLE001
+                        errors.append(told(e, places))
                 done = len(errors) <= retries
                 own = {"start_time": start, "total_time": time.time() - start, "attempts": len(errors) + done, "success": done, "error_messages": "\n".join(errors) or None}
-                yield pd.DataFrame([{**dict.fromkeys(names), **tile, **got, **own}])[names]
+                rows.append({**dict.fromkeys(names), **tile, **got, **own})
+                if len(rows) == TOGETHER:
+                    yield frame(rows)
+                    rows = []
+            if rows:
+                yield frame(rows)
 
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields]
     schema = ", ".join([*columns, fields, OUTCOME])
     names = tiles.sparkSession.createDataFrame([], schema).columns
-    return tiles.repartition(*[F.col(k) for k in keys]).mapInPandas(run, schema)
+    tasks = 4 * tiles.sparkSession.sparkContext.defaultParallelism  # a number, since small tiles would be put into few tasks, however long their work
+    return tiles.repartition(tasks, *[F.col(k) for k in keys]).mapInPandas(run, schema)
 
 
 def within(batch: DataFrame, seconds: float, done: Callable[[DataFrame, int], None], path: str, keys: Sequence[str], by: Column | None = None, pieces: int = 16) -> DataFrame:

@@ -1,5 +1,7 @@
 import time
+import traceback
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from meltline.operators import batches
@@ -19,6 +21,58 @@ def test_retries_and_errors(spark):
     assert got[1].error_messages.count("KeyError: ") == 3 and got[0].error_messages is None
 
 
+def test_outcomes_leave_in_batches(spark):
+    class Tiles:
+        schema, sparkSession = spark.range(0).withColumnRenamed("id", "tile").schema, spark
+
+        def repartition(self, *_):
+            return self
+
+        def mapInPandas(self, run, schema):
+            return run
+
+    run = batches.attempted(Tiles(), lambda t: {"n": 1 / (t["tile"] % 2)}, "n double", keys=("tile",))
+    got = list(run(iter([pd.DataFrame({"tile": range(2500)}), pd.DataFrame({"tile": range(10)})])))
+    assert [len(f) for f in got] == [1000, 1000, 500, 10]
+    assert [list(f["tile"]) for f in got] == [[*range(1000)], [*range(1000, 2000)], [*range(2000, 2500)], [*range(10)]]
+    assert all(list(f["success"]) == [t % 2 == 1 for t in f["tile"]] for f in got)
+
+
+def test_fields_beside_missing_ones(spark):
+    big = 2**53 + 1
+
+    def work(tile):
+        if tile["row"] % 2:
+            raise ValueError
+        return {"n": big, "at": tile["at"], "text": "a", "ok": True, "x": tile["x"]}
+
+    rows = spark.range(6).selectExpr("CAST(id AS int) AS row", "0 AS col", "CASE WHEN id > 2 THEN TIMESTAMP_NTZ '2020-01-01' END AS t", "TIMESTAMP_NTZ '2021-01-01' AS at", "CASE WHEN id > 2 THEN id + 0.5D END AS x")
+    got = {r.row: r for r in batches.attempted(rows, work, "n long, text string, ok boolean").collect()}
+    assert [got[i].n for i in range(6)] == [big, None] * 3 and [got[i].text for i in range(6)] == ["a", None] * 3 and [got[i].ok for i in range(6)] == [True, None] * 3
+    assert [got[i].x for i in range(6)] == [None, None, None, 3.5, 4.5, 5.5] and [got[i].t is None for i in range(6)] == [True] * 3 + [False] * 3
+
+
+def test_errors_are_told_as_python_does():
+    def chained():
+        try:
+            raise KeyError("a")
+        except KeyError as e:
+            raise ValueError("b") from e
+
+    def noted():
+        e = ValueError("two\nlines")
+        e.add_note("note")
+        raise e
+
+    places = {}
+    for work in [lambda: 1 / 0, lambda: [][1] + {}[2], lambda: int("x"), lambda: pd.nothing, lambda: lost, chained, noted] * 2:  # noqa: F821
+        try:
+            work()
+        except Exception as e:  # noqa: BLE001
+            assert batches.told(e, places) == traceback.format_exc(limit=-1).strip()
+    assert len(places) == 4
+
+
 def test_batch_that_ends_in_time_leaves_nothing(spark, tmp_path):
     tiles = spark.range(20).withColumnRenamed("id", "tile")
     left = batches.within(tiles, 60, lambda part, k: part.write.parquet(f"{tmp_path}/out/{k}"), f"{tmp_path}/batch", ("tile",), pieces=3)
