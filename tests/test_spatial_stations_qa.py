@@ -50,6 +50,20 @@ def test_radius_edge(spark):
     assert {r.id for r in spatial.within_radius(c, p, 100.0).collect()} == {1, 3}
 
 
+def test_pairs_of_a_crowded_place(spark, monkeypatch):
+    """All pairs, whatever lies in one place, made by more than one task, though few rows are joined."""
+    monkeypatch.setattr(spatial, "TOGETHER", 3)
+    centres = [(i, x, y) for i, (x, y) in enumerate([(0.0, 0.0)] * 7 + [(-30.0, 40.0), (1e6 + 0.1, -0.3), (None, 0.0)])]
+    points = [(i, x, y) for i, (x, y) in enumerate([(0.0, 0.0)] * 20 + [(-50.0, 0.0), (50.0, 0.0), (30.0, 40.0), (30.1, 40.0), (0.0, -49.9), (1e6 + 50.1, -0.3), (1e6 - 49.9, -0.3), (None, 1.0)])]
+    c = spark.createDataFrame(centres, "station int, cx double, cy double").coalesce(1)
+    p = spark.createDataFrame(points, "id int, px double, py double").coalesce(1)
+    d2 = lambda a, b: (b[1] - a[1]) * (b[1] - a[1]) + (b[2] - a[2]) * (b[2] - a[2])
+    expected = sorted((a[0], b[0], *a[1:], *b[1:], round(d2(a, b) ** 0.5, 2)) for a in centres for b in points if a[1] is not None and b[1] is not None and d2(a, b) <= 2500)
+    got = spatial.within_radius(c, p, 50.0, digits=2)
+    assert sorted((r.station, r.id, r.cx, r.cy, r.px, r.py, r.dist_m) for r in got.collect()) == expected and len(expected) > 160
+    assert spatial.within_radius(c, p, 50.0).select(F.spark_partition_id()).distinct().count() > 1
+
+
 def series(spark, values, start=dt.date(2017, 10, 1), station="a"):
     rows = [(station, start + dt.timedelta(days=i), v, 2018, i + 1) for i, v in enumerate(values)]
     return spark.createDataFrame(rows, "station string, date date, swe double, wy int, dowy int")
