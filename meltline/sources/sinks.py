@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import blank_to_null, encode
+from .shared import scratch
 
 TILE = ("tile_row", "tile_col")
 
@@ -43,8 +45,40 @@ def append_results(rows: DataFrame, path: str, header: bool = True) -> None:
 
 
 def write_log(rows: DataFrame, path: str, order: Sequence[str] = ("start_time",)) -> None:
-    """The consolidated log as one sorted file; a log holds some thousand tiles."""
-    rows.coalesce(1).sortWithinPartitions(*order).write.mode("overwrite").option("header", True).option("nullValue", "").option("escape", '"').csv(path)
+    """The consolidated log as one sorted file with a header; rows of equal order stay as they came.
+
+    Tasks sort and write a range of the order each; the driver then strings these files together, a buffer at a time,
+    beside the old log, which is replaced once the new one is whole.
+    """
+    spark, parts = rows.sparkSession, scratch(rows.sparkSession, "log-parts")
+    form = lambda df, at, header: df.write.option("header", header).option("nullValue", "").option("escape", '"').option("compression", "none").csv(at)
+    form(spark.createDataFrame([], rows.schema).coalesce(1), f"{parts}/head", True)
+    keys = [*order, "_came"]
+    placed = rows.withColumn("_came", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    form(placed.drop("_came"), f"{parts}/rows", False)
+    hadoop = spark._jvm.org.apache.hadoop
+    at, conf = hadoop.fs.Path, spark._jsparkSession.sessionState().newHadoopConf()
+    source, target = at(parts).getFileSystem(conf), at(path).getFileSystem(conf)
+    if target.exists(at(path)) and target.getFileStatus(at(path)).isFile():
+        target.delete(at(path), False)
+    old = list(target.listStatus(at(path))) if target.exists(at(path)) else []
+    name = f"part-00000-{uuid.uuid4().hex}.csv"
+    out = target.create(at(f"{path}/.{name}"))
+    try:
+        for part in ("head", "rows"):
+            files = [f.getPath() for f in source.listStatus(at(f"{parts}/{part}")) if f.getPath().getName().startswith("part-")]
+            for f in sorted(files, key=lambda f: int(f.getName().split("-")[1])):
+                held = source.open(f)
+                hadoop.io.IOUtils.copyBytes(held, out, 1 << 20, False)
+                held.close()
+    finally:
+        out.close()
+    if not target.rename(at(f"{path}/.{name}"), at(f"{path}/{name}")):
+        raise OSError(f"{path}/.{name} can't be renamed")
+    for f in old:
+        target.delete(f.getPath(), True)
+    source.delete(at(parts), True)
+    spark.catalog.refreshByPath(path)
 
 
 def geojson_features(tiles: DataFrame) -> DataFrame:

@@ -123,3 +123,33 @@ def test_until_done(spark):
     rounds = streaming.until_done(lambda: spark.range(left[0]), lambda b: left.__setitem__(0, max(0, left[0] - 2)))
     assert rounds == 3 and left == [0]
     assert streaming.until_done(lambda: spark.range(4), lambda b: None) == 1
+
+
+def test_consolidated_log_is_one_file_sorted_in_parts(spark, tmp_path, monkeypatch):
+    """The log is one file in order, with one header, and no task sorts all of it."""
+    frame, sorts = type(spark.range(0)), []
+    within = frame.sortWithinPartitions
+    monkeypatch.setattr(frame, "sortWithinPartitions", lambda df, *c, **k: (sorts.append(df), within(df, *c, **k))[1])
+    path, k = f"{tmp_path}/log", F.col("id")
+    made = spark.range(0, 20000, 1, 3).select(
+        k.cast("int").alias("row"), F.lit(1).alias("col"), F.concat(F.lit('a, "b" '), k.cast("string")).alias("error_messages"), F.when(k % 5 != 0, F.format_string("%05d", k * 7919 % 1000)).alias("start_time")
+    )
+    rows = made.select(*[F.col(f.name) if f.name in made.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in readers.RESULTS])
+    expected = [r.row for r in sorted(made.collect(), key=lambda r: (r.start_time or "", r.row))]
+    with_adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    sinks.write_log(made.select("row"), path, ("row",))
+    for _ in range(2):
+        sinks.write_log(rows, path)
+        assert len([*(tmp_path / "log").glob("*.csv")]) == 1
+        got = readers.result_log(spark, path).orderBy("sequence").collect()
+        assert [r.row for r in got] == expected and got[-1].error_messages == f'a, "b" {expected[-1]}'
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        counts = [r["count"] for r in sorts[-1].groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", with_adaptive)
+    assert max(counts) < 10000
+    sinks.write_log(rows.limit(0), path)
+    assert readers.result_log(spark, path).count() == 0
+    (lines,) = [f.read_text().splitlines() for f in (tmp_path / "log").glob("*.csv")]
+    assert lines == [",".join(readers.RESULTS.fieldNames())]
